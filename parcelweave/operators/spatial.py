@@ -116,13 +116,12 @@ def _union_group(table: pa.Table) -> pa.Table:
 
 
 def union_cells(
-    footprints: DataFrame, keys: list[str], *, cell_size: float, salts: int = 16
+    footprints: DataFrame, keys: list[str], *, cell_size: float, run: int = 256
 ) -> DataFrame:
     """(keys, cell, geometry): overlap-free union of all footprints of a group, cell by cell.
 
     Footprints are cut to cells first.  A footprint that covers its cell makes all others of the
-    cell redundant, so of those one is kept; the rest are united in two levels (salt, then cell),
-    so that no task sees more than a share of a crowded cell.
+    cell redundant, so of those one is kept; the rest are united as a tree of bounded runs.
     """
     box = F.col("_b")
     span = lambda lo, hi: F.sequence(F.floor(lo / cell_size), F.floor(hi / cell_size))
@@ -144,9 +143,15 @@ def union_cells(
     full = G.area(F.col("geometry")) >= s * s * F.lit(1 - 1e-12)
     covered = distinct.where(full).groupBy(*where).agg(F.first("geometry").alias("geometry"))
     partial = distinct.where(~full).join(covered.select(*where), where, "left_anti")
-    salted = partial.withColumn("_salt", F.pmod(F.xxhash64("geometry"), F.lit(salts)).cast("int"))
-    first = salted.groupBy(*where, "_salt").applyInArrow(_union_group, salted.schema)
-    second = first.drop("_salt").groupBy(*where).applyInArrow(_union_group, partial.schema)
+    # A crowded cell is united as a tree: runs of about `run` shapes, then runs of those.
+    sizes = partial.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / run).alias("_runs"))
+    salted = partial.join(sizes, where).withColumn(
+        "_salt", F.pmod(F.xxhash64("geometry"), F.col("_runs")).cast("bigint")
+    ).drop("_runs")
+    level = salted.groupBy(*where, "_salt").applyInArrow(_union_group, salted.schema)
+    level = level.withColumn("_salt", F.floor(F.col("_salt") / run))
+    level = level.groupBy(*where, "_salt").applyInArrow(_union_group, salted.schema)
+    second = level.drop("_salt").groupBy(*where).applyInArrow(_union_group, partial.schema)
     return covered.unionByName(second)
 
 
