@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from parcelweave.functions import kernel
@@ -19,7 +20,14 @@ from parcelweave.functions import kernel
 POINT = "struct<x:double,y:double>"
 RING = f"array<{POINT}>"
 GEOM = f"array<array<{RING}>>"
-BBOX = "struct<minx:double,miny:double,maxx:double,maxy:double>"
+# Type objects, because decorators run before there is a session to parse DDL.
+POINT_TYPE = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+GEOM_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(POINT_TYPE)))
+
+
+def _once(function):
+    """Keep the optimizer from copying a kernel call into a filter on its result."""
+    return function.asNondeterministic()
 
 
 # ------------------------------------------------------------------ text formats
@@ -79,7 +87,8 @@ def box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 # ------------------------------------------------------------------ binary format
-@arrow_udf(GEOM)
+@_once
+@arrow_udf(GEOM_TYPE)
 def from_wkb(blob: pa.Array) -> pa.Array:
     """WKB -> GEOM; a blob that cannot be read becomes NULL."""
     rows = []
@@ -92,7 +101,8 @@ def from_wkb(blob: pa.Array) -> pa.Array:
     return kernel.parts_to_rows(rows)
 
 
-@arrow_udf("binary")
+@_once
+@arrow_udf(T.BinaryType())
 def to_wkb(geom: pa.Array) -> pa.Array:
     """GEOM -> WKB."""
     return pa.array([kernel.format_wkb(p) if p else None for p in kernel.rows_to_parts(geom)], pa.binary())
@@ -347,14 +357,16 @@ def area_sqm(geom: Column, country: str) -> Column:
 
 
 # ------------------------------------------------------------------ pairs of outlines
-@arrow_udf("double")
+@_once
+@arrow_udf(T.DoubleType())
 def intersection_area(left: pa.Array, right: pa.Array) -> pa.Array:
     """Area of the intersection; NULL when a side is NULL or empty."""
     _, _, both, valid = kernel.overlap_areas(left, right)
     return pa.array(both, mask=~valid)
 
 
-@arrow_udf("double")
+@_once
+@arrow_udf(T.DoubleType())
 def iou(left: pa.Array, right: pa.Array) -> pa.Array:
     """Intersection over union; 0 for NULL or disjoint shapes."""
     area_l, area_r, both, _ = kernel.overlap_areas(left, right)
@@ -364,7 +376,8 @@ def iou(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(ratio)
 
 
-@arrow_udf(GEOM)
+@_once
+@arrow_udf(GEOM_TYPE)
 def clip_to_box(geom: pa.Array, x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
     """The part of each geometry inside an axis-aligned box, as real separate parts."""
     bounds = np.column_stack([np.asarray(c, dtype=np.float64) for c in (x1, y1, x2, y2)])
@@ -373,7 +386,8 @@ def clip_to_box(geom: pa.Array, x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa
     )
 
 
-@arrow_udf(GEOM)
+@_once
+@arrow_udf(GEOM_TYPE)
 def clip_to_geometry(geom: pa.Array, mask: pa.Array) -> pa.Array:
     """The part of each geometry inside another one.
 
@@ -390,7 +404,8 @@ def clip_to_geometry(geom: pa.Array, mask: pa.Array) -> pa.Array:
     return kernel.parts_to_rows(rows)
 
 
-@arrow_udf("boolean")
+@_once
+@arrow_udf(T.BooleanType())
 def has_simple_rings(geom: pa.Array) -> pa.Array:
     """False when a ring is too short or crosses itself."""
     return pa.array([bool(p) and kernel.simple_rings(p) for p in kernel.rows_to_parts(geom)])

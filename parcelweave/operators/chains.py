@@ -31,7 +31,11 @@ def ancestors_of_class(features: DataFrame, target_class: str) -> DataFrame:
     need only a logarithmic number of joins.  A usual chain (one hop) ends after the first.  Pointers
     still open once 2^k exceeds the number of features run in a cycle and resolve to NULL.
     """
-    nodes = features.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id", "class_id", "parent_id")
+    nodes = (
+        features.where(F.col("feature_id").isNotNull())
+        .select("aoi_id", "feature_id", "class_id", "parent_id")
+        .dropDuplicates(KEY)
+    )
     up = nodes.select(
         F.col("aoi_id"), F.col("feature_id").alias("ptr"), F.col("class_id").alias("ptr_class"),
         F.col("parent_id").alias("ptr_parent"),

@@ -1,9 +1,9 @@
 """Linking two feature classes by intersection over union.
 
 Candidate pairs come from an equi-join on (aoi_id, grid cell), never from "all pairs of an AOI":
-a feature is filed under the cells its box touches at the level that fits its size, and probed
-at the coarser levels, so even one huge AOI spreads over many cells and any outline is filed
-under at most four cells per level below the coarsest one.  A pair is kept only in the cell that
+a feature is filed under the cells its box touches, small ones in a fine grid and large ones in a
+coarse grid that the small ones probe, so even one huge AOI spreads over many cells while a large
+outline is not repeated over thousands of fine ones.  A pair is kept only in the cell that
 holds the lower-left corner of the two boxes' common part, which makes pairs unique without a
 distinct.
 """
@@ -17,61 +17,38 @@ from parcelweave.config import MIN_LINK_IOU
 from parcelweave.functions import geometry as G
 from parcelweave.functions.columns import half_even
 
-LEVEL_FACTOR = 32.0
-LEVELS = 3
+LEVEL_FACTOR = 64.0
 
 
-def _cells(box: Column, level: Column, base: float) -> Column:
-    """All (cx, cy) cells of a level that a box touches."""
-    size = F.lit(base) * F.pow(F.lit(LEVEL_FACTOR), level)
-
-    def span(lo, hi):
-        return F.sequence(F.floor(lo / size), F.floor(hi / size))
-
-    return F.flatten(
-        F.transform(
-            span(box["minx"], box["maxx"]),
-            lambda cx: F.transform(
-                span(box["miny"], box["maxy"]),
-                lambda cy: F.struct(level.alias("level"), cx.alias("cx"), cy.alias("cy")),
-            ),
-        )
-    )
-
+def _filed(df: DataFrame, base: float, side: str) -> DataFrame:
+    """One row per cell key (role, level, cx, cy).
 
-def _own_level(box: Column, base: float) -> Column:
+    Level 0 holds features up to one cell in extent, level 1 the larger ones.  Role 0 pairs the
+    left's own cells with the right's own and probe cells; role 1 pairs the left's probe cells
+    with the right's own cells.  Only level-0 features probe (level 1).
+    """
+    box = F.col("_box")
     extent = F.greatest(box["maxx"] - box["minx"], box["maxy"] - box["miny"])
-    level = F.lit(LEVELS - 1)
-    for k in reversed(range(LEVELS - 1)):
-        level = F.when(extent <= base * LEVEL_FACTOR**k, k).otherwise(level)
-    return level
 
+    def keys(*pairs):
+        return F.array(*[F.struct(F.lit(role).alias("role"), F.lit(level).alias("level")) for role, level in pairs])
 
-def _filed(df: DataFrame, base: float, side: str) -> DataFrame:
-    """One row per cell key.  Role 0 pairs the left's own cells with the right's own and probe
-    cells; role 1 pairs the left's probe cells with the right's own cells."""
-    box = F.col("_box")
-    own = F.col("_own")
-    coarser = F.filter(F.array(*[F.lit(k) for k in range(LEVELS)]), lambda k: k > own)
-    own_cells = _cells(box, own, base)
-    probe_cells = F.flatten(F.transform(coarser, lambda k: _cells(box, k, base)))
-
-    def with_role(cells, role):
-        return F.transform(
-            cells,
-            lambda c: F.struct(F.lit(role).alias("role"), c["level"].alias("level"), c["cx"].alias("cx"), c["cy"].alias("cy")),
-        )
+    if side == "left":
+        small, large = keys((0, 0), (1, 1)), keys((0, 1))
+    else:
+        small, large = keys((0, 0), (0, 1)), keys((0, 1), (1, 1))
+    size = F.when(F.col("_level") == 0, F.lit(base)).otherwise(F.lit(base * LEVEL_FACTOR))
+
+    def span(lo, hi):
+        return F.explode(F.sequence(F.floor(lo / size), F.floor(hi / size)))
 
-    keys = (
-        F.concat(with_role(own_cells, 0), with_role(probe_cells, 1))
-        if side == "left"
-        else F.concat(with_role(own_cells, 0), with_role(probe_cells, 0), with_role(own_cells, 1))
-    )
     return (
-        df.withColumn("_box", G.bbox(F.col("geometry")))
-        .where(F.col("_box").isNotNull())
-        .withColumn("_own", _own_level(box, base))
-        .withColumn("_key", F.explode(keys))
+        df.withColumn("_box", F.col("bbox") if "bbox" in df.columns else G.bbox(F.col("geometry")))
+        .where(box.isNotNull())
+        .withColumn("_k", F.explode(F.when(extent <= base, small).otherwise(large)))
+        .withColumns({"_role": F.col("_k.role"), "_level": F.col("_k.level")})
+        .withColumn("_cx", span(box["minx"], box["maxx"]))
+        .withColumn("_cy", span(box["miny"], box["maxy"]))
     )
 
 
@@ -80,19 +57,17 @@ def candidate_pairs(
 ) -> DataFrame:
     """All (left, right) rows of equal ``keys`` whose bounding boxes overlap.
 
-    Both sides need ``geometry``; columns come back as ``l_*`` and ``r_*`` structs ``l`` / ``r``.
+    Both sides need ``geometry``, and use a stored ``bbox`` column if they have one.  Their columns
+    come back as structs ``l`` and ``r``.
     """
     lf, rf = _filed(left, cell_size, "left"), _filed(right, cell_size, "right")
+    cell = ("role", "level", "cx", "cy")
     a = lf.select(
-        *[F.col(k).alias(f"_a_{k}") for k in keys],
-        F.col("_key.role").alias("_a_role"), F.col("_key.level").alias("_a_level"),
-        F.col("_key.cx").alias("_a_cx"), F.col("_key.cy").alias("_a_cy"),
+        *[F.col(k).alias(f"_a_{k}") for k in keys], *[F.col(f"_{k}").alias(f"_a_{k}") for k in cell],
         F.col("_box").alias("_a_box"), F.struct(*left.columns).alias("l"),
     )
     b = rf.select(
-        *[F.col(k).alias(f"_b_{k}") for k in keys],
-        F.col("_key.role").alias("_b_role"), F.col("_key.level").alias("_b_level"),
-        F.col("_key.cx").alias("_b_cx"), F.col("_key.cy").alias("_b_cy"),
+        *[F.col(k).alias(f"_b_{k}") for k in keys], *[F.col(f"_{k}").alias(f"_b_{k}") for k in cell],
         F.col("_box").alias("_b_box"), F.struct(*right.columns).alias("r"),
     )
     pa, pb = F.col("_a_box"), F.col("_b_box")
@@ -100,16 +75,16 @@ def candidate_pairs(
         (pa["minx"] <= pb["maxx"]) & (pb["minx"] <= pa["maxx"])
         & (pa["miny"] <= pb["maxy"]) & (pb["miny"] <= pa["maxy"])
     )
-    size = F.lit(cell_size) * F.pow(F.lit(LEVEL_FACTOR), F.col("_a_level"))
+    size = F.when(F.col("_a_level") == 0, F.lit(cell_size)).otherwise(F.lit(cell_size * LEVEL_FACTOR))
     home = (F.floor(F.greatest(pa["minx"], pb["minx"]) / size) == F.col("_a_cx")) & (
         F.floor(F.greatest(pa["miny"], pb["miny"]) / size) == F.col("_a_cy")
     )
     on = overlap & home
-    for k in keys:
-        on = (F.col(f"_a_{k}") == F.col(f"_b_{k}")) & on
-    for k in ("role", "level", "cx", "cy"):
+    for k in (*cell, *keys):
         on = (F.col(f"_a_{k}") == F.col(f"_b_{k}")) & on
-    return a.join(b, on, "inner").select(*[F.col(f"_a_{k}").alias(k) for k in keys], "l", "r")
+    # Both sides grow with the data, so neither is offered for broadcasting.
+    joined = a.join(b.hint("merge"), on, "inner")
+    return joined.select(*[F.col(f"_a_{k}").alias(k) for k in keys], "l", "r")
 
 
 def iou_pairs(children: DataFrame, parents: DataFrame, *, cell_size: float = 0.002) -> DataFrame:
@@ -118,8 +93,9 @@ def iou_pairs(children: DataFrame, parents: DataFrame, *, cell_size: float = 0.0
     Only ids and outlines travel to the kernel; other columns are joined back by id.
     """
     kind = F.col("kind") if "kind" in children.columns else F.lit(None).cast("string")
-    c = children.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id", kind.alias("kind"), "geometry")
-    p = parents.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id", "geometry")
+    box = [["bbox"] if "bbox" in df.columns else [] for df in (children, parents)]
+    c = children.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id", kind.alias("kind"), "geometry", *box[0])
+    p = parents.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id", "geometry", *box[1])
     pairs = candidate_pairs(c, p, cell_size=cell_size)
     return pairs.select(
         "aoi_id",

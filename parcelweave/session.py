@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "parcelweave") -> SparkSessio
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
@@ -40,6 +41,9 @@ def prepare(spark: SparkSession) -> SparkSession:
             bundle.write(path, pathlib.Path("parcelweave") / path.relative_to(PACKAGE_DIR))
     sc.addPyFile(str(target))
     sc._parcelweave_shipped = True
+    # The JIT leaves methods above 8000 bytes of bytecode interpreted; wide geometry stages do
+    # better without whole-stage fusion than inside one such method.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
