@@ -30,6 +30,12 @@ def _once(function):
     return function.asNondeterministic()
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``; without this a column expression used in a
+    lambda would be evaluated again for every array element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # ------------------------------------------------------------------ text formats
 def from_wkt(text: Column) -> Column:
     """WKT POLYGON / MULTIPOLYGON -> GEOM; anything else (also EMPTY) -> NULL."""
@@ -163,12 +169,9 @@ def area(geom: Column) -> Column:
 
 def centroid(geom: Column) -> Column:
     """Area-weighted centroid as struct<x,y>."""
-    first = F.get(F.get(F.get(geom, F.lit(0)), F.lit(0)), F.lit(0))
-    x0, y0 = first["x"], first["y"]
-
-    def moments(ring):
-        start = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
+    def moments(ring, x0, y0):
         def step(acc, p, q):
             px, py, qx, qy = p["x"] - x0, p["y"] - y0, q["x"] - x0, q["y"] - y0
             w = px * qy - qx * py
@@ -178,37 +181,53 @@ def centroid(geom: Column) -> Column:
                 (acc["y"] + (py + qy) * w).alias("y"),
             )
 
-        return _edges(ring, start, step)
+        return _edges(ring, zero, step)
 
-    def signed(ring, outline):
-        m = moments(ring)
-        s = F.signum(m["a"]) * F.when(outline, F.lit(1.0)).otherwise(F.lit(-1.0))
+    def signed(m, i):
+        s = F.signum(m["a"]) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
         return F.struct((m["a"] * s).alias("a"), (m["x"] * s).alias("x"), (m["y"] * s).alias("y"))
 
-    rings = F.flatten(F.transform(geom, lambda p: F.transform(p, lambda r, i: signed(r, i == 0))))
-    total = F.aggregate(
-        rings,
-        F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
-        lambda acc, m: F.struct(
-            (acc["a"] + m["a"]).alias("a"), (acc["x"] + m["x"]).alias("x"), (acc["y"] + m["y"]).alias("y")
-        ),
-    )
-    return F.when(
-        total["a"] != 0,
-        F.struct(
-            (x0 + total["x"] / (total["a"] * 3)).alias("x"),
-            (y0 + total["y"] / (total["a"] * 3)).alias("y"),
-        ),
-    )
+    def answer(g):
+        first = F.get(F.get(F.get(g, F.lit(0)), F.lit(0)), F.lit(0))
+
+        def around(o):
+            per_ring = F.flatten(
+                F.transform(g, lambda part: F.transform(F.transform(part, lambda r: moments(r, o["x"], o["y"])), signed))
+            )
+            total = F.aggregate(
+                per_ring,
+                zero,
+                lambda acc, m: F.struct(
+                    (acc["a"] + m["a"]).alias("a"), (acc["x"] + m["x"]).alias("x"), (acc["y"] + m["y"]).alias("y")
+                ),
+            )
+            return let(
+                total,
+                lambda t: F.when(
+                    t["a"] != 0,
+                    F.struct((o["x"] + t["x"] / (t["a"] * 3)).alias("x"), (o["y"] + t["y"] / (t["a"] * 3)).alias("y")),
+                ),
+            )
+
+        return let(first, around)
+
+    return let(geom, answer)
 
 
 def _all_rings(geom: Column) -> Column:
     return F.flatten(geom)
 
 
+def _target(geom: Column, px: Column, py: Column) -> Column:
+    return F.struct(geom.alias("g"), px.alias("x"), py.alias("y"))
+
+
 def contains_point(geom: Column, px: Column, py: Column) -> Column:
     """Even-odd crossing test over all rings; boundary points count as outside or inside by side."""
+    return let(_target(geom, px, py), lambda t: _contains(t["g"], t["x"], t["y"]))
 
+
+def _contains(geom: Column, px: Column, py: Column) -> Column:
     def crossings(ring):
         def step(acc, p, q):
             spans = (p["y"] > py) != (q["y"] > py)
@@ -223,7 +242,10 @@ def contains_point(geom: Column, px: Column, py: Column) -> Column:
 
 def distance_to_point(geom: Column, px: Column, py: Column) -> Column:
     """Planar distance from a point to the filled shape; 0 inside."""
+    return let(_target(geom, px, py), lambda t: _distance(t["g"], t["x"], t["y"]))
+
 
+def _distance(geom: Column, px: Column, py: Column) -> Column:
     def nearest(ring):
         def step(acc, p, q):
             dx, dy = q["x"] - p["x"], q["y"] - p["y"]
@@ -235,20 +257,14 @@ def distance_to_point(geom: Column, px: Column, py: Column) -> Column:
         return _edges(ring, F.lit(float("inf")), step)
 
     edge = F.aggregate(_all_rings(geom), F.lit(float("inf")), lambda acc, r: F.least(acc, nearest(r)))
-    return F.when(contains_point(geom, px, py), F.lit(0.0)).otherwise(edge)
+    return F.when(_contains(geom, px, py), F.lit(0.0)).otherwise(edge)
 
 
 def inside_point(geom: Column) -> Column:
     """A point inside the shape: the centroid if it lies inside, else the middle of the widest
     interior run of the largest part along a horizontal line through its bounding box."""
-    c = centroid(geom)
-    parts = F.transform(geom, lambda p: F.struct(area(F.array(p)).alias("a"), p.alias("part")))
-    rings = F.array_max(parts)["part"]
-    b = bbox(F.array(rings))
-    # Nudge off the middle so that the scan line does not run through typical vertices.
-    y = b["miny"] + (b["maxy"] - b["miny"]) * F.lit(0.4999871)
 
-    def crossings(ring):
+    def crossings(ring, y):
         hits = F.transform(
             F.arrays_zip(
                 F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))).alias("p"),
@@ -262,15 +278,32 @@ def inside_point(geom: Column) -> Column:
         )
         return F.filter(hits, lambda v: v.isNotNull())
 
-    xs = F.array_sort(F.flatten(F.transform(rings, crossings)))
-    runs = F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.size(xs) - 2, F.lit(0))), lambda i: i % 2 == 0),
-        lambda i: F.struct(
-            (F.get(xs, i + 1) - F.get(xs, i)).alias("width"), ((F.get(xs, i) + F.get(xs, i + 1)) / 2).alias("x")
-        ),
+    def widest(xs, y):
+        runs = F.transform(
+            F.filter(F.sequence(F.lit(0), F.greatest(F.size(xs) - 2, F.lit(0))), lambda i: i % 2 == 0),
+            lambda i: F.struct(
+                (F.get(xs, i + 1) - F.get(xs, i)).alias("width"), ((F.get(xs, i) + F.get(xs, i + 1)) / 2).alias("x")
+            ),
+        )
+        return F.when(F.size(xs) > 1, F.struct(F.array_max(runs)["x"].alias("x"), y.alias("y")))
+
+    def scan(g):
+        parts = F.transform(g, lambda p: F.struct(area(F.array(p)).alias("a"), p.alias("part")))
+
+        def across(rings):
+            b = bbox(F.array(rings))
+            # Nudge off the middle so that the scan line does not run through typical vertices.
+            middle = let(b, lambda v: v["miny"] + (v["maxy"] - v["miny"]) * F.lit(0.4999871))
+            return let(
+                middle,
+                lambda y: let(F.array_sort(F.flatten(F.transform(rings, lambda r: crossings(r, y)))), lambda xs: widest(xs, y)),
+            )
+
+        return let(F.array_max(parts)["part"], across)
+
+    return let(
+        geom, lambda g: let(centroid(g), lambda c: F.when(_contains(g, c["x"], c["y"]), c).otherwise(scan(g)))
     )
-    scan = F.when(F.size(xs) > 1, F.struct(F.array_max(runs)["x"].alias("x"), y.alias("y")))
-    return F.when(contains_point(geom, c["x"], c["y"]), c).otherwise(scan)
 
 
 # ------------------------------------------------------------------ projections

@@ -83,10 +83,14 @@ def order_columns(df: DataFrame, aoi_columns: Sequence[str], metadata_columns: S
 
 def map_link(base_url: str, geom: Column, date: Column, zoom: str = "21.00z,0d") -> Column:
     """Viewer link from centroid and date (YYYYMMDD); without a date a dateless link."""
-    c = G.centroid(geom)
-    at = F.concat(F.lit(base_url), c["y"].cast("string"), F.lit(","), c["x"].cast("string"), F.lit(f",{zoom}"))
     day = F.nullif(F.substring(F.replace(date, F.lit("-"), F.lit("")), 1, 8), F.lit(""))
-    return F.when(c.isNotNull(), F.concat(at, F.coalesce(F.concat(F.lit("/V/"), day), F.lit("")), F.lit("?locationMarker")))
+    tail = F.concat(F.coalesce(F.concat(F.lit("/V/"), day), F.lit("")), F.lit("?locationMarker"))
+
+    def link(c):
+        at = F.concat(F.lit(base_url), c["y"].cast("string"), F.lit(","), c["x"].cast("string"), F.lit(f",{zoom}"))
+        return F.when(c.isNotNull(), F.concat(at, tail))
+
+    return G.let(G.centroid(geom), link)
 
 
 def with_query_point(aois: DataFrame) -> DataFrame:
