@@ -15,6 +15,8 @@ from parcelweave.sources.ids import dense_ids
 PERCENTILES = (50, 90, 95, 99)
 BRACKET = 0.0005
 SKETCH_ACCURACY = 10_000
+# Below this size a bracket would be narrower than a few ranks: the whole group is its bracket.
+SMALL_GROUP = 8_000
 
 
 def histogram(value: Column, edges: Sequence[float] = LATENCY_EDGES) -> Column:
@@ -39,8 +41,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: S
         F.percentile_approx("_v", F.array(*[F.lit(q) for q in probes]), SKETCH_ACCURACY).alias("_q"),
         F.count(F.lit(1)).alias("_n"),
     )
-    lows = [F.col("_q")[2 * i] for i in range(len(percentiles))]
-    highs = [F.col("_q")[2 * i + 1] for i in range(len(percentiles))]
+    small = F.col("_n") < SMALL_GROUP
+    lows = [F.when(small, float("-inf")).otherwise(F.col("_q")[2 * i]) for i in range(len(percentiles))]
+    highs = [F.when(small, float("inf")).otherwise(F.col("_q")[2 * i + 1]) for i in range(len(percentiles))]
     seen = rows.join(bounds, keys)
     below = seen.groupBy(*keys, "_n").agg(
         *[F.count_if(F.col("_v") < lows[i]).alias(f"_below{i}") for i in range(len(percentiles))]

@@ -1,19 +1,21 @@
 """Incremental ingest: landed payload files -> up-to-date rollups.
 
-A file stream with ``availableNow`` picks up what is new.  Every micro-batch recomputes the
-rollups of the areas it touches and writes them under its own batch id, replacing that batch's
-folder; a replayed batch therefore changes nothing.  The current rollup is the newest row per
-area, and ``compact`` folds history into one folder.
+A file stream with ``availableNow`` picks up what is new.  Each micro-batch first joins the payload
+store, a table partitioned by a hash of the area id; the rollups of the areas it touches are then
+recomputed from all their stored payloads, read from just the hash buckets involved, and written
+under the batch's own id.  Both writes replace the batch's folder, so a replayed batch changes
+nothing.  The current rollup is the newest row per area; ``compact`` folds history together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAYLOADS = "aoi_id string, page int, payload string"
+BUCKETS = 256
 
 
 def payload_stream(spark: SparkSession, folder: str, *, schema: str = PAYLOADS, max_files: int = 1000) -> DataFrame:
@@ -21,6 +23,28 @@ def payload_stream(spark: SparkSession, folder: str, *, schema: str = PAYLOADS,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(folder)
 
 
+def bucket(aoi_id: Column) -> Column:
+    return F.pmod(F.xxhash64(aoi_id), F.lit(BUCKETS)).cast("int")
+
+
+def store_payloads(batch: DataFrame, store: str, batch_id: int) -> None:
+    """Add one batch to the payload store."""
+    rows = batch.withColumn("bucket", bucket(F.col("aoi_id")))
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch_id={batch_id}")
+
+
+def stored_payloads(spark: SparkSession, store: str, areas: DataFrame, schema: str = PAYLOADS) -> DataFrame:
+    """All payloads of some areas, the newest batch winning per (area, page).
+
+    The set of buckets is at most 256 numbers, so it prunes partitions as a literal list.
+    """
+    hit = [r["b"] for r in areas.select(bucket(F.col("aoi_id")).alias("b")).distinct().collect()]
+    rows = spark.read.schema(f"{schema}, batch_id bigint, bucket int").option("basePath", store).parquet(f"{store}/batch_id=*")
+    rows = rows.where(F.col("bucket").isin(hit)).join(areas.select("aoi_id").distinct(), "aoi_id", "left_semi")
+    newest = rows.groupBy("aoi_id", "page").agg(F.max_by("payload", "batch_id").alias("payload"))
+    return newest.select("aoi_id", "page", "payload")
+
+
 def write_batch(rollups: DataFrame, target: str, batch_id: int) -> None:
     """Replace one batch's folder."""
     rollups.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
@@ -44,6 +68,7 @@ def compact(spark: SparkSession, target: str, compacted: str) -> None:
 def run_incremental(
     spark: SparkSession,
     landing: str,
+    store: str,
     target: str,
     checkpoint: str,
     rollup_of: Callable[[DataFrame], DataFrame],
@@ -52,11 +77,14 @@ def run_incremental(
 ):
     """Process everything that landed since the last run and return when it is done.
 
-    ``rollup_of`` maps payload rows of the affected areas to their rollup rows.
+    ``rollup_of`` maps payload rows (aoi_id, page, payload) of whole areas to their rollup rows.
     """
+    store, target = store.rstrip("/"), target.rstrip("/")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        write_batch(rollup_of(batch), target, batch_id)
+        store_payloads(batch, store, batch_id)
+        written = spark.read.parquet(f"{store}/batch_id={batch_id}")
+        write_batch(rollup_of(stored_payloads(spark, store, written)), target, batch_id)
 
     query = (
         payload_stream(spark, landing, max_files=max_files)
