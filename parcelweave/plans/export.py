@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from parcelweave.config import (
     BUILDING,
     BUILDING_LIFECYCLE,
-    DS_RISK_CLASSES,
     INCLUDES,
     METADATA_COLUMNS,
     PERILS,
@@ -26,6 +25,8 @@ from parcelweave.functions.columns import age_years, half_even
 from parcelweave.operators import attributes, chains, includes, linking, rollup, spatial
 from parcelweave.operators.changes import union_sources
 from parcelweave.operators.primary import mark_primary, stack_primary_ids
+from parcelweave.operators.stats import success_flags
+from parcelweave.session import cut_lineage
 from parcelweave.sources import sinks
 
 
@@ -43,10 +44,14 @@ class ExportInputs:
     roof_age_errors: DataFrame | None = None
 
 
-def linked_features(inputs: ExportInputs, country: str, *, cell_size: float = 0.002) -> DataFrame:
+def linked_features(
+    inputs: ExportInputs, country: str, *, cell_size: float = 0.002, materialize: bool = True
+) -> DataFrame:
     """Features of both sources with all link columns, retired classes dropped.
 
-    Roofs, buildings and roof instances get their links by joining back small id tables.
+    Roofs, buildings and roof instances get their links by joining back small id tables.  Every
+    output table starts from this one, so it is written to the shared folder once and read back
+    column by column instead of being linked again per output.
     """
     base = chains.forget_roof_parents(chains.drop_deprecated(inputs.features))
     roofs = base.where(F.col("class_id") == ROOF)
@@ -64,10 +69,11 @@ def linked_features(inputs: ExportInputs, country: str, *, cell_size: float = 0.
             "children": "child_roof_instances", "child_count": "child_roof_instance_count",
         })
     out = _attach(out, to_building, ROOF, "child", {"parent_id": "parent_building_id", "parent_iou": "parent_building_iou"})
-    return _attach(out, to_building, BUILDING, "parent", {
+    out = _attach(out, to_building, BUILDING, "parent", {
         "primary_child_id": "primary_child_roof_id", "primary_child_iou": "primary_child_roof_iou",
         "children": "child_roofs", "child_count": "child_roof_count",
     })
+    return cut_lineage(out) if materialize else out
 
 
 def _attach(features: DataFrame, summary: DataFrame, class_id: str, role: str, names: dict[str, str]) -> DataFrame:
@@ -228,7 +234,6 @@ def aggregate_zones(metadata: DataFrame, country: str, zones: Sequence[int] = (0
 
 def zone_columns(country: str, zones: Sequence[int] = (0, 1, 2)) -> list[str]:
     """All zone columns in output order: the primary roof's, then the aggregate's."""
-    assert DS_RISK_CLASSES
     return [
         *[f"primary_{c}" for c in includes.zone_column_order(country, tuple(zones), "defensible_space_zone")],
         *includes.zone_column_order(country, tuple(zones), "aggregate_defensible_space_zone"),
@@ -250,8 +255,6 @@ def finished_rollup(rollup_df: DataFrame, inputs: ExportInputs, country: str) ->
     if inputs.roof_age_errors is not None:
         flags["roof_age_api"] = inputs.roof_age_errors
     if flags:
-        from parcelweave.operators.stats import success_flags
-
         out = out.join(success_flags(inputs.aois, flags), "aoi_id", "left")
     out = sinks.ensure_columns(out, METADATA_COLUMNS)
     aoi_cols = [c for c in inputs.aois.columns if c not in ("aoi_id", "geometry")]

@@ -23,22 +23,24 @@ def payload_stream(spark: SparkSession, folder: str, *, schema: str = PAYLOADS,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(folder)
 
 
-def bucket(aoi_id: Column) -> Column:
-    return F.pmod(F.xxhash64(aoi_id), F.lit(BUCKETS)).cast("int")
+def bucket(aoi_id: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(aoi_id), F.lit(buckets)).cast("int")
 
 
-def store_payloads(batch: DataFrame, store: str, batch_id: int) -> None:
+def store_payloads(batch: DataFrame, store: str, batch_id: int, buckets: int = BUCKETS) -> None:
     """Add one batch to the payload store."""
-    rows = batch.withColumn("bucket", bucket(F.col("aoi_id")))
+    rows = batch.withColumn("bucket", bucket(F.col("aoi_id"), buckets))
     rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch_id={batch_id}")
 
 
-def stored_payloads(spark: SparkSession, store: str, areas: DataFrame, schema: str = PAYLOADS) -> DataFrame:
+def stored_payloads(
+    spark: SparkSession, store: str, areas: DataFrame, schema: str = PAYLOADS, buckets: int = BUCKETS
+) -> DataFrame:
     """All payloads of some areas, the newest batch winning per (area, page).
 
-    The set of buckets is at most 256 numbers, so it prunes partitions as a literal list.
+    The set of buckets is small by construction, so it prunes partitions as a literal list.
     """
-    hit = [r["b"] for r in areas.select(bucket(F.col("aoi_id")).alias("b")).distinct().collect()]
+    hit = [r["b"] for r in areas.select(bucket(F.col("aoi_id"), buckets).alias("b")).distinct().collect()]
     rows = spark.read.schema(f"{schema}, batch_id bigint, bucket int").option("basePath", store).parquet(f"{store}/batch_id=*")
     rows = rows.where(F.col("bucket").isin(hit)).join(areas.select("aoi_id").distinct(), "aoi_id", "left_semi")
     newest = rows.groupBy("aoi_id", "page").agg(F.max_by("payload", "batch_id").alias("payload"))
@@ -74,6 +76,7 @@ def run_incremental(
     rollup_of: Callable[[DataFrame], DataFrame],
     *,
     max_files: int = 1000,
+    buckets: int = BUCKETS,
 ):
     """Process everything that landed since the last run and return when it is done.
 
@@ -82,9 +85,9 @@ def run_incremental(
     store, target = store.rstrip("/"), target.rstrip("/")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        store_payloads(batch, store, batch_id)
+        store_payloads(batch, store, batch_id, buckets)
         written = spark.read.parquet(f"{store}/batch_id={batch_id}")
-        write_batch(rollup_of(stored_payloads(spark, store, written)), target, batch_id)
+        write_batch(rollup_of(stored_payloads(spark, store, written, buckets=buckets)), target, batch_id)
 
     query = (
         payload_stream(spark, landing, max_files=max_files)
