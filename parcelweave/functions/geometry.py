@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from parcelweave.functions import kernel
+from parcelweave.functions.columns import let
 
 POINT = "struct<x:double,y:double>"
 RING = f"array<{POINT}>"
@@ -30,12 +31,6 @@ def _once(function):
     return function.asNondeterministic()
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``; without this a column expression used in a
-    lambda would be evaluated again for every array element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 # ------------------------------------------------------------------ text formats
 def from_wkt(text: Column) -> Column:
     """WKT POLYGON / MULTIPOLYGON -> GEOM; anything else (also EMPTY) -> NULL."""
@@ -414,9 +409,7 @@ def iou(left: pa.Array, right: pa.Array) -> pa.Array:
 def clip_to_box(geom: pa.Array, x1: pa.Array, y1: pa.Array, x2: pa.Array, y2: pa.Array) -> pa.Array:
     """The part of each geometry inside an axis-aligned box, as real separate parts."""
     bounds = np.column_stack([np.asarray(c, dtype=np.float64) for c in (x1, y1, x2, y2)])
-    return kernel.parts_to_rows(
-        [kernel.clip_box(parts, *b) if parts else None for parts, b in zip(kernel.rows_to_parts(geom), bounds)]
-    )
+    return kernel.parts_to_rows(kernel.clip_rows_to_boxes(geom, bounds))
 
 
 @_once
@@ -427,13 +420,14 @@ def clip_to_geometry(geom: pa.Array, mask: pa.Array) -> pa.Array:
     A concave mask is applied as disjoint convex pieces, so the result is exact as a point set
     and in area but may hold several parts that touch along a line.
     """
-    rows = []
-    for parts, mask_parts in zip(kernel.rows_to_parts(geom), kernel.rows_to_parts(mask)):
-        if not parts or not mask_parts:
-            rows.append(None)
-            continue
-        pieces = [piece for rings in mask_parts for piece in kernel.convex_pieces(rings)]
-        rows.append([p for piece in pieces for p in kernel.clip_convex(parts, piece)])
+    ext, _, upright = kernel.extents(mask)
+    rows = kernel.clip_rows_to_boxes(geom, ext)
+    for i in np.flatnonzero(~upright):
+        # The extent's clip above only trimmed the outline; the real mask decides.
+        parts, mask_parts = rows[i], kernel.rows_to_parts(mask.slice(i, 1))[0]
+        if parts:
+            pieces = [piece for rings in mask_parts for piece in kernel.convex_pieces(rings)]
+            rows[i] = [p for piece in pieces for p in kernel.clip_convex(parts, piece)]
     return kernel.parts_to_rows(rows)
 
 

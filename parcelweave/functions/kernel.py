@@ -13,6 +13,7 @@ x-range of each edge pair, which is closed-form.  Holes and several parts need n
 from __future__ import annotations
 
 import math
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -210,7 +211,7 @@ def clip_half_plane(rings: list[np.ndarray], a: float, b: float, c: float) -> li
     """
     whole, chains = [], []
     for ring in rings:
-        d = ring @ np.array([a, b]) - c
+        d = ring[:, 0] * a + ring[:, 1] * b - c
         inside = d <= 0
         if inside.all():
             if (d < 0).any():
@@ -218,22 +219,20 @@ def clip_half_plane(rings: list[np.ndarray], a: float, b: float, c: float) -> li
             continue
         if not (d < 0).any():
             continue
+        # Edge i runs from point i to point i + 1; crossings alternate between entry and exit.
         n = len(ring)
-        start = int(np.flatnonzero(~inside)[0])
-        chain = None
-        for step in range(n):
-            i, j = (start + step) % n, (start + step + 1) % n
-            if inside[i] != inside[j]:
-                t = d[i] / (d[i] - d[j])
-                cut = ring[i] + t * (ring[j] - ring[i])
-                if inside[j]:
-                    chain = [cut, ring[j]]
-                else:
-                    chain.append(cut)
-                    chains.append(np.array(chain))
-                    chain = None
-            elif inside[j] and chain is not None:
-                chain.append(ring[j])
+        crossing = np.flatnonzero(inside != np.roll(inside, -1))
+        nxt = (crossing + 1) % n
+        t = d[crossing] / (d[crossing] - d[nxt])
+        cuts = ring[crossing] + t[:, None] * (ring[nxt] - ring[crossing])
+        if inside[crossing[0]]:  # start with an entry
+            crossing, cuts = np.roll(crossing, -1), np.roll(cuts, -1, axis=0)
+        twice = np.vstack([ring, ring])
+        for k in range(0, len(crossing), 2):
+            first, last = crossing[k] + 1, crossing[k + 1]
+            if last < first:
+                last += n
+            chains.append(np.vstack([cuts[k], twice[first : last + 1], cuts[k + 1]]))
     if not chains:
         return whole
     along = np.array([-b, a])
@@ -292,7 +291,7 @@ def clip_convex(parts: list[list[np.ndarray]], convex: np.ndarray) -> list[list[
 
 
 def clip_box(parts, x1, y1, x2, y2):
-    """Clip a multi-part shape to an axis-aligned box, skipping sides that do not cut."""
+    """Clip a multi-part shape to an axis-aligned box."""
     out = []
     for rings in parts:
         rings = orient(rings)
@@ -303,6 +302,59 @@ def clip_box(parts, x1, y1, x2, y2):
     return out
 
 
+def extents(geoms: pa.Array):
+    """Per row (minx, miny, maxx, maxy), whether it has points, and whether it is one upright box."""
+    n = len(geoms)
+    parts_per_row = _lengths(geoms)
+    parts = geoms.flatten()
+    rings_per_part = _lengths(parts)
+    rings = parts.flatten()
+    per_ring = _lengths(rings)
+    pts = rings.flatten()
+    x, y = (np.asarray(pts.field(k), dtype=np.float64) for k in ("x", "y"))
+    row_of_part = np.repeat(np.arange(n), parts_per_row)
+    row_of_ring = np.repeat(row_of_part, rings_per_part)
+    row = np.repeat(row_of_ring, per_ring)
+    lo_x, hi_x = _row_extent(row, x, x, n)
+    lo_y, hi_y = _row_extent(row, y, y, n)
+    n_pts = np.bincount(row, minlength=n) if len(row) else np.zeros(n, np.int64)
+    on_corner = ((x == lo_x[row]) | (x == hi_x[row])) & ((y == lo_y[row]) | (y == hi_y[row]))
+    corners = np.bincount(row, weights=on_corner, minlength=n) if len(row) else np.zeros(n)
+    turns = np.zeros(n)
+    if len(row) > 1:
+        same = row[1:] == row[:-1]
+        straight = (x[1:] == x[:-1]) != (y[1:] == y[:-1])
+        turns = np.bincount(row[1:], weights=same & straight, minlength=n)
+    rings_per_row = np.bincount(row_of_ring, minlength=n) if len(row_of_ring) else np.zeros(n, np.int64)
+    upright = (rings_per_row == 1) & (n_pts == 5) & (corners == 5) & (turns == 4)
+    return np.column_stack([lo_x, lo_y, hi_x, hi_y]), n_pts > 0, upright
+
+
+def box_ring(x1, y1, x2, y2) -> np.ndarray:
+    return np.array([[x1, y1], [x2, y1], [x2, y2], [x1, y2], [x1, y1]])
+
+
+def clip_rows_to_boxes(geoms: pa.Array, boxes: np.ndarray) -> list:
+    """Clip each row to its box: rows inside stay, rows outside vanish, upright boxes are cut by
+    arithmetic, and only the rest is cut edge by edge."""
+    ext, filled, upright = extents(geoms)
+    lo, hi = np.maximum(ext[:, :2], boxes[:, :2]), np.minimum(ext[:, 2:], boxes[:, 2:])
+    meets = filled & (lo < hi).all(axis=1)
+    inside = meets & (ext[:, :2] >= boxes[:, :2]).all(axis=1) & (ext[:, 2:] <= boxes[:, 2:]).all(axis=1)
+    rows = rows_to_parts(geoms)
+    out = []
+    for i, parts in enumerate(rows):
+        if not meets[i]:
+            out.append(None)
+        elif inside[i]:
+            out.append(parts)
+        elif upright[i]:
+            out.append([[box_ring(lo[i, 0], lo[i, 1], hi[i, 0], hi[i, 1])]])
+        else:
+            out.append(clip_box(parts, *boxes[i]))
+    return out
+
+
 def convex_pieces(rings: list[np.ndarray]) -> list[np.ndarray]:
     """Cut one part into convex pieces: the part itself if convex, else trapezoids between
     consecutive vertex abscissae."""
@@ -392,7 +444,8 @@ def parts_to_rows(rows: list) -> pa.Array:
         parts = parts or []
         for rings in parts:
             for ring in rings:
-                closed = ring if len(ring) and (ring[0] == ring[-1]).all() else np.vstack([ring, ring[:1]])
+                shut = len(ring) and ring[0, 0] == ring[-1, 0] and ring[0, 1] == ring[-1, 1]
+                closed = ring if shut else np.vstack([ring, ring[:1]])
                 chunks.append(closed)
                 ring_off.append(ring_off[-1] + len(closed))
             part_off.append(len(ring_off) - 1)
@@ -406,27 +459,29 @@ def parts_to_rows(rows: list) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(row_off, pa.int32()), parts, mask=mask)
 
 
+def _crosses(p, q, r, s) -> np.ndarray:
+    """Do open segments p-q and r-s cross properly?  Inputs broadcast."""
+
+    def side(o, d, v):
+        return d[..., 0] * (v[..., 1] - o[..., 1]) - d[..., 1] * (v[..., 0] - o[..., 0])
+
+    e, f = q - p, s - r
+    return (side(p, e, r) * side(p, e, s) < 0) & (side(r, f, p) * side(r, f, q) < 0)
+
+
 def simple_rings(parts: list[list[np.ndarray]]) -> bool:
     """True if every ring has at least three points and no ring crosses itself."""
     for rings in parts:
         for ring in rings:
-            r = _open(ring)
-            if len(r) < 3:
+            p = _open(ring)
+            n = len(p)
+            if n < 3:
                 return False
-            p, q = r, np.roll(r, -1, axis=0)
-            n = len(r)
-            for i in range(n - 2):
-                j = np.arange(i + 2, n if i else n - 1)
-                if not len(j):
-                    continue
-                e, f = q[i] - p[i], q[j] - p[j]
-                s, t = p[j] - p[i], q[j] - p[i]
-                u, v = p[i] - p[j], q[i] - p[j]
-                d1 = e[0] * s[:, 1] - e[1] * s[:, 0]
-                d2 = e[0] * t[:, 1] - e[1] * t[:, 0]
-                d3 = f[:, 0] * u[:, 1] - f[:, 1] * u[:, 0]
-                d4 = f[:, 0] * v[:, 1] - f[:, 1] * v[:, 0]
-                if ((d1 * d2 < 0) & (d3 * d4 < 0)).any():
+            q = np.roll(p, -1, axis=0)
+            block = max(1, (1 << 18) // n)
+            for i in range(0, n, block):
+                a, b = p[i : i + block, None], q[i : i + block, None]
+                if _crosses(a, b, p[None], q[None]).any():
                     return False
     return True
 
@@ -437,23 +492,25 @@ def parse_wkb(blob: bytes) -> list | None:
 
     def header(at):
         order = "<" if blob[at] == 1 else ">"
-        code = int(np.frombuffer(blob, order + "u4", 1, at + 1)[0])
+        (code,) = struct.unpack_from(order + "I", blob, at + 1)
         at += 5
         if code & 0x20000000:
             at += 4
         extra = bool(code & 0x80000000) + bool(code & 0x40000000)
         base = code & 0x0FFFFFFF
-        extra = max(extra, (1, 1, 2)[base // 1000 - 1] if 1000 <= base < 4000 else 0)
+        if 1000 <= base < 4000:
+            extra = max(extra, (1, 1, 2)[base // 1000 - 1])
         return order, base % 1000, 2 + extra, at
 
     def polygon(at, order, dims):
-        n_rings = int(np.frombuffer(blob, order + "u4", 1, at)[0])
+        (n_rings,) = struct.unpack_from(order + "I", blob, at)
         at += 4
         rings = []
         for _ in range(n_rings):
-            n = int(np.frombuffer(blob, order + "u4", 1, at)[0])
+            (n,) = struct.unpack_from(order + "I", blob, at)
             at += 4
-            rings.append(np.frombuffer(blob, order + "f8", n * dims, at).reshape(n, dims)[:, :2].astype(float))
+            pts = np.frombuffer(blob, order + "f8", n * dims, at).reshape(n, dims)
+            rings.append(pts if dims == 2 else pts[:, :2])
             at += 8 * n * dims
         return rings, at
 
@@ -462,7 +519,7 @@ def parse_wkb(blob: bytes) -> list | None:
         rings, _ = polygon(at, order, dims)
         return [rings] if rings else None
     if kind == 6:
-        n = int(np.frombuffer(blob, order + "u4", 1, at)[0])
+        (n,) = struct.unpack_from(order + "I", blob, at)
         at += 4
         parts = []
         for _ in range(n):
@@ -476,7 +533,7 @@ def parse_wkb(blob: bytes) -> list | None:
 
 def format_wkb(parts: list) -> bytes:
     """Parts -> little-endian WKB: Polygon for one part, MultiPolygon for several."""
-    u4 = lambda v: np.uint32(v).astype("<u4").tobytes()
+    u4 = lambda v: struct.pack("<I", v)
 
     def polygon(rings):
         body = b"".join(u4(len(r)) + np.ascontiguousarray(r, "<f8").tobytes() for r in rings)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelweave.functions.columns import let
+
 
 def entry(name: Column | str, value: Column) -> Column:
     key = F.lit(name) if isinstance(name, str) else name
@@ -19,9 +21,16 @@ def entry(name: Column | str, value: Column) -> Column:
 def to_map(entries: Column) -> Column:
     """Entries -> map; of equal names the last one wins, NULL names and NULL values are left out."""
     kept = F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
-    backwards = F.reverse(F.transform(kept, lambda e: e["key"]))
-    last = F.filter(kept, lambda e, i: F.array_position(backwards, e["key"]) == F.size(kept) - i)
-    return F.map_from_entries(last)
+
+    def last_of_each(s):
+        n = F.size(s["entries"])
+        return F.filter(s["entries"], lambda e, i: F.array_position(s["backwards"], e["key"]) == n - i)
+
+    def with_keys(k):
+        bundle = F.struct(k.alias("entries"), F.reverse(F.transform(k, lambda e: e["key"])).alias("backwards"))
+        return let(bundle, last_of_each)
+
+    return F.map_from_entries(let(kept, with_keys))
 
 
 def pick(source: Column, names: list[str], prefix: str = "", default: Column | None = None) -> dict[str, Column]:

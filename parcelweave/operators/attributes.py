@@ -15,7 +15,7 @@ from parcelweave.config import (
     ROOF_AGE_COLUMNS,
     area_unit,
 )
-from parcelweave.functions.columns import age_years, half_even, json_object, label, yes_no
+from parcelweave.functions.columns import age_years, half_even, json_object, label, let, yes_no
 from parcelweave.functions.maps import entry, to_map
 
 HISTOGRAM = "struct<binType:string,ratios:array<double>>"
@@ -159,26 +159,31 @@ def dominant_component(attributes: Column, group: str, country: str, recalc: Col
                 | s["description"].isin(*RETIRED_ROOF_SHAPE_NAMES)
             ),
         )
-    best = F.array_max(candidates)
-    known = best["ratio"] >= DOMINANT_MATERIAL_MIN_RATIO if material else best["area"] > 0
-    known = F.coalesce(known, F.lit(False))
-    return F.when(
-        F.size(rows) > 0,
-        F.struct(
+
+    def verdict(best):
+        known = best["ratio"] >= DOMINANT_MATERIAL_MIN_RATIO if material else best["area"] > 0
+        known = F.coalesce(known, F.lit(False))
+        return F.struct(
             F.when(known, best["class_id"]).alias("feature_class"),
             F.when(known, best["description"]).otherwise(F.lit("unknown")).alias("description"),
             F.when(known, best["area"]).alias("area"),
             F.when(known, best["ratio"]).alias("ratio"),
             F.when(known, best["confidence"]).alias("confidence"),
-        ),
-    )
+        )
 
+    return F.when(F.size(rows) > 0, let(F.array_max(candidates), verdict))
 
-def dominant_columns(attributes: Column, country: str, recalc: Column | None = None) -> dict[str, Column]:
-    """Flat ``dominant_roof_material_*`` and ``dominant_roof_types_*`` columns."""
+
+def dominants(attributes: Column, country: str, recalc: Column | None = None) -> dict[str, Column]:
+    """``_dominant_<group>`` structs, to be staged before :func:`dominant_columns` reads them."""
+    return {f"_dominant_{g}": dominant_component(attributes, g, country, recalc) for g in ("roof_material", "roof_types")}
+
+
+def dominant_columns(country: str) -> dict[str, Column]:
+    """Flat ``dominant_roof_material_*`` and ``dominant_roof_types_*`` columns of staged winners."""
     u, out = area_unit(country), {}
     for group in ("roof_material", "roof_types"):
-        d = dominant_component(attributes, group, country, recalc)
+        d = F.col(f"_dominant_{group}")
         out[f"dominant_{group}_feature_class"] = d["feature_class"]
         out[f"dominant_{group}_description"] = d["description"]
         out[f"dominant_{group}_area_{u}"] = d["area"]
@@ -205,12 +210,12 @@ def flatten_roofs(roofs: DataFrame, country: str, *, recalc_col: str | None = No
     recalc = F.col(recalc_col) if recalc_col else None
     return staged.withColumns(
         {
-            **dominant_columns(a, country, recalc),
+            **dominants(a, country, recalc),
             **roof_3d_columns(a),
             "roof_numbers": to_map(component_numbers(a, country, recalc)),
             "roof_texts": to_map(component_texts(a, recalc)),
         }
-    ).drop("_attrs")
+    ).withColumns(dominant_columns(country)).drop("_attrs", "_dominant_roof_material", "_dominant_roof_types")
 
 
 def flatten_pools(pools: DataFrame, country: str) -> DataFrame:

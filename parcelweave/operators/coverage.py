@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelweave.functions import geometry as G
-from parcelweave.session import cut_lineage
+from parcelweave.session import cut_lineage, spread
 
 
 def points_with_history(points: DataFrame, history: DataFrame, key: str) -> DataFrame:
@@ -122,10 +122,13 @@ def footprints_at_points(
     b = F.col("_b")
     span = lambda lo, hi: F.sequence(F.floor(lo / cell_size), F.floor(hi / cell_size))
     s = F.lit(cell_size)
-    pieces = (
+    cells = (
         footprints.withColumn("_b", G.bbox(F.col("geometry"))).where(b.isNotNull())
         .withColumn("_cx", F.explode(span(b["minx"], b["maxx"])))
         .withColumn("_cy", F.explode(span(b["miny"], b["maxy"])))
+    )
+    pieces = (
+        spread(cells, "_cx", "_cy", "_b")
         .withColumn(
             "geometry",
             G.clip_to_box(F.col("geometry"), F.col("_cx") * s, F.col("_cy") * s, (F.col("_cx") + 1) * s, (F.col("_cy") + 1) * s),

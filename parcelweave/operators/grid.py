@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelweave.config import GRID_SIZE_DEGREES, MAX_AOI_SQM_BEFORE_GRIDDING, SIZE_ERROR_CODES
 from parcelweave.functions import geometry as G
+from parcelweave.session import spread
 
 SUMMED = ("area_sqm", "area_sqft", "clipped_area_sqm", "clipped_area_sqft")
 METADATA_IDENTITY = (
@@ -60,7 +61,7 @@ def split_into_grid(aois: DataFrame, cell: float = GRID_SIZE_DEGREES) -> DataFra
     strips = extents.where(n_cols > 0).withColumn("cell_col", F.explode(F.sequence(F.lit(0).cast("bigint"), n_cols - 1)))
     x1 = b["minx"] + F.col("cell_col") * cell
     x2 = b["minx"] + (F.col("cell_col") + 1) * cell
-    strips = strips.select(
+    strips = spread(strips, "aoi_id", "cell_col").select(
         "aoi_id", "box", "cell_col",
         G.clip_to_box(F.col("geometry"), x1, b["miny"], x2, b["maxy"]).alias("geometry"),
     ).where(F.col("geometry").isNotNull())

@@ -13,6 +13,7 @@ from parcelweave.functions.columns import half_even, label
 from parcelweave.functions.maps import to_map
 from parcelweave.operators.attributes import is_clipped, parse_attributes
 from parcelweave.operators.linking import candidate_pairs
+from parcelweave.session import spread
 
 
 def clip_to_aoi(features: DataFrame, aois: DataFrame, country: str) -> DataFrame:
@@ -132,7 +133,7 @@ def union_cells(
         .withColumn("cy", F.explode(span(box["miny"], box["maxy"])))
     )
     s = F.lit(cell_size)
-    cut = cells.select(
+    cut = spread(cells, *keys, "cx", "cy", "_b").select(
         *keys, "cx", "cy",
         G.clip_to_box(
             F.col("geometry"), F.col("cx") * s, F.col("cy") * s, (F.col("cx") + 1) * s, (F.col("cy") + 1) * s

@@ -123,24 +123,30 @@ def primary_attributes(
     """Flatten the attributes of each primary feature, one per area and class, into columns."""
     u = area_unit(country)
     ids = {c.class_id: c.name for c in catalogue}
-    cols = {}
+    parsed, cols = {}, {}
     p = F.col("primaries")
     if ROOF in ids:
-        attrs = attributes.parse_attributes(p[ROOF]["attributes"])
+        attrs = F.col("_roof_attrs")
         head = f"primary_{ids[ROOF]}_"
-        for k, v in {**attributes.dominant_columns(attrs, country), **attributes.roof_3d_columns(attrs)}.items():
-            cols[head + k] = v
+        parsed["_roof_attrs"] = attributes.parse_attributes(p[ROOF]["attributes"])
+        cols.update(attributes.dominants(attrs, country))
+        cols.update({head + k: v for k, v in attributes.roof_3d_columns(attrs).items()})
         cols["_roof_numbers"] = attributes.to_map(attributes.component_numbers(attrs, country))
         cols["_roof_texts"] = attributes.to_map(attributes.component_texts(attrs))
     if BUILDING in ids:
-        attrs = attributes.parse_attributes(p[BUILDING]["attributes"])
+        attrs = F.col("_building_attrs")
+        parsed["_building_attrs"] = attributes.parse_attributes(p[BUILDING]["attributes"])
         for k, v in attributes.building_3d_columns(attrs, country).items():
             cols["_storeys" if k == "storeys" else f"primary_{ids[BUILDING]}_{k}"] = v
     if POOL in ids:
-        attrs = attributes.parse_attributes(p[POOL]["attributes"])
+        attrs = F.col("_pool_attrs")
+        parsed["_pool_attrs"] = attributes.parse_attributes(p[POOL]["attributes"])
         cols["_pool_numbers"] = attributes.to_map(attributes.component_numbers(attrs, country))
         cols["_pool_texts"] = attributes.to_map(attributes.component_texts(attrs))
-    staged = base.withColumns(cols)
+    staged = base.withColumns(parsed).withColumns(cols)
+    if ROOF in ids:
+        staged = staged.withColumns({f"primary_{ids[ROOF]}_{k}": v for k, v in attributes.dominant_columns(country).items()})
+    staged = staged.drop(*parsed, "_dominant_roof_material", "_dominant_roof_types")
     if BUILDING_LIFECYCLE in ids:
         damage = attributes.flatten_lifecycle_damage(staged.withColumn("damage", p[BUILDING_LIFECYCLE]["damage"])).drop("damage")
         head = f"primary_{ids[BUILDING_LIFECYCLE]}_"

@@ -63,3 +63,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/parcelweave-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute rows after a fan-out (one area exploded into many cells), so that the kernel work
+    of one huge input row is shared by all tasks instead of staying where the row was read."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

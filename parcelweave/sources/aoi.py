@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from parcelweave.config import ADDRESS_FIELDS, AOI_ID
 from parcelweave.functions import geometry as G
 from parcelweave.sources.geopackage import read_geopackage
+from parcelweave.session import cut_lineage
 from parcelweave.sources.ids import dense_ids
 
 SEPARATORS = {"csv": ",", "tsv": "\t", "psv": "|"}
@@ -127,7 +128,8 @@ def read_aois(
     df = read_table(spark, path, format)
     check_windows(df)
     if "geometry" in df.columns and drop_invalid:
-        df = valid_geometry(df)
+        # Written once: the checks below and the caller then read the validated table.
+        df = cut_lineage(valid_geometry(df))
     if df.isEmpty():
         raise ValueError(f"no valid areas in {path}")
     df = with_ids(df, id_column)

@@ -20,7 +20,7 @@ from parcelweave.config import (
     wrong_unit_area_columns,
 )
 from parcelweave.functions import geometry as G
-from parcelweave.functions.columns import age_years, yes_no
+from parcelweave.functions.columns import age_years, let, yes_no
 from parcelweave.sources.geoparquet import write_geoparquet
 
 
@@ -90,7 +90,7 @@ def map_link(base_url: str, geom: Column, date: Column, zoom: str = "21.00z,0d")
         at = F.concat(F.lit(base_url), c["y"].cast("string"), F.lit(","), c["x"].cast("string"), F.lit(f",{zoom}"))
         return F.when(c.isNotNull(), F.concat(at, tail))
 
-    return G.let(G.centroid(geom), link)
+    return let(G.centroid(geom), link)
 
 
 def with_query_point(aois: DataFrame) -> DataFrame:
