@@ -75,6 +75,9 @@ def with_boxes(df: DataFrame) -> DataFrame:
     return df.withColumns({"geometry": G.box(x1, y1, x2, y2), "bbox": box})
 
 
+LARGE = ("lineitem", "orders", "events", "part", "customer")
+
+
 class Tables:
     """Parquet tables of one scale folder, read lazily and column-pruned by the plans using them."""
 
@@ -84,7 +87,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # A table that is one small file with one row group would be read, and everything up to the
+        # next shuffle computed, by a single task.  Tables with enough splits are left alone.
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if name in LARGE and df.rdd.getNumPartitions() < cores else df
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         return self.spark.sql(text.replace('"captureDate"', "`captureDate`").replace('"3d"', "`3d`"), **frames)
