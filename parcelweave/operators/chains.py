@@ -67,7 +67,7 @@ def ancestors_of_class(features: DataFrame, target_class: str) -> DataFrame:
             "aoi_id", "feature_id", F.col("ptr2").alias("ptr"), F.coalesce("hit2", F.lit(False)).alias("hit")
         )
         settled = jump.where(F.col("ptr").isNull() | F.col("hit"))
-        jump = cut_lineage(settled.unionByName(moved))
+        jump = cut_lineage(settled.unionByName(moved), replaces=jump)
     return jump.select("aoi_id", "feature_id", F.col("ptr").alias("ancestor_id"))
 
 

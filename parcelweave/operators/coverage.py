@@ -79,7 +79,7 @@ def greedy_cover(coverage: DataFrame, key: str, *, budget: int = 200) -> list[di
             break
         chosen.append({"survey_id": top[0]["survey_id"], "captureDate": top[0]["captureDate"], "points": top[0]["points"]})
         gone = open_pairs.where(F.col("survey_id") == F.lit(top[0]["survey_id"])).select(key)
-        open_pairs = cut_lineage(open_pairs.join(gone, key, "left_anti"))
+        open_pairs = cut_lineage(open_pairs.join(gone, key, "left_anti"), replaces=open_pairs)
     return chosen
 
 

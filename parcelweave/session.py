@@ -56,13 +56,44 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that loops keep flat plans and a
-    lost executor costs no recomputation."""
+    lost executor costs no recomputation.
+
+    ``replaces`` is an earlier result of this function that is no longer needed: its files go away
+    once the new ones are complete.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/parcelweave-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = _scratch_paths(spark)
+    written.append(path)
+    if replaces is not None and getattr(replaces, "_scratch_path", None) in written:
+        _delete(spark, replaces._scratch_path)
+        written.remove(replaces._scratch_path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every table this session wrote through :func:`cut_lineage` (results built on them
+    must have been written by then)."""
+    for path in _scratch_paths(spark):
+        _delete(spark, path)
+    _scratch_paths(spark).clear()
+
+
+def _scratch_paths(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_parcelweave_scratch"):
+        sc._parcelweave_scratch = []
+    return sc._parcelweave_scratch
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

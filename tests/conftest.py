@@ -5,11 +5,12 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from parcelweave.session import local_session  # noqa: E402
+from parcelweave.session import drop_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
     yield session
+    drop_scratch(session)
     session.stop()
