@@ -50,10 +50,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it; a fresh one only where unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if base:
+        return base
+    # Unset, as in tests on one machine.  The setting is fixed at start-up, so remember ours here.
+    sc = spark.sparkContext
+    if not hasattr(sc, "_parcelweave_shared"):
+        sc._parcelweave_shared = tempfile.mkdtemp(prefix="spark-")
+    return sc._parcelweave_shared
 
 
 def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
