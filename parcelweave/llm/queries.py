@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("q_quality",)
+_MODULES = ("q_quality", "q_chat", "q_mixing")
 
 
 def load() -> None:
