@@ -48,12 +48,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it; a fresh one only where unset."""
+    """Folder all executors can reach, as the cluster names it; a fresh local one where unset and the
+    master is a single machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
-    # Unset, as in tests on one machine.  The setting is fixed at start-up, so remember ours here.
     sc = spark.sparkContext
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    # Unset, as in tests on one machine.  The setting is fixed at start-up, so remember ours here.
     if not hasattr(sc, "_parcelweave_shared"):
         sc._parcelweave_shared = tempfile.mkdtemp(prefix="spark-")
     return sc._parcelweave_shared
@@ -79,6 +82,13 @@ def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that :func:`drop_scratch` deletes; ``name`` must be unused."""
+    path = f"{shared_dir(spark).rstrip('/')}/parcelweave-{name}"
+    _scratch_paths(spark).append(path)
+    return path
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every table this session wrote through :func:`cut_lineage` (results built on them
     must have been written by then)."""
