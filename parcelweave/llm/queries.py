@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("q_quality", "q_chat", "q_mixing", "q_warc")
+_MODULES = ("q_quality", "q_chat", "q_mixing", "q_simhash", "q_warc")
 
 
 def load() -> None:
