@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("q_quality", "q_chat", "q_mixing", "q_simhash", "q_lines", "q_warc", "q_decontaminate", "q_suffixes")
+_MODULES = ("q_quality", "q_chat", "q_mixing", "q_simhash", "q_pages", "q_lines", "q_warc", "q_decontaminate", "q_suffixes")
 
 
 def load() -> None:
