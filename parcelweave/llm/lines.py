@@ -73,7 +73,8 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     count as a repeat.  The first occurrence is that of the smallest id (nulls last), then key, then
     place.  Groups are reduced to a count and a first occurrence on the map side, so a chunk shared by
     a third of all documents is no hot spot, and the joins that tell occurrences of their group are of
-    two plain tables, whose skewed keys adaptive execution splits.
+    two plain tables, whose skewed keys adaptive execution splits.  Joins with the texts are merge joins
+    at every size, as the other side grows with the corpus.
     """
     prepare(docs.sparkSession)
     rows = docs.select(
@@ -86,7 +87,7 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     often = cut_lineage(often.select("digest"))
     candidates = found.join(often, "digest").groupBy("key", "id").agg(F.collect_set(F.struct("first", "lines")).alias("parts"))
     candidates = cut_lineage(candidates)
-    split = rows.select("key", "text").join(candidates, "key").select("key", "id", F.split("text", "\n").alias("all"), F.explode("parts").alias("part"))
+    split = rows.select("key", "text").join(candidates.hint("merge"), "key").select("key", "id", F.split("text", "\n").alias("all"), F.explode("parts").alias("part"))
     body = F.array_join(F.slice("all", F.col("part.first") + 1, F.col("part.lines")), "\n")
     placed = cut_lineage(split.select("key", "id", "part.*", body.alias("body")))
     spot = F.struct(F.col("id").isNull().alias("n"), "id", "key", "first")
@@ -103,7 +104,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     come last in order; an empty table stays empty.  Further columns of any name are kept.
     """
     removed = repeated_chunks(docs, id_column, text).select(F.col("key").alias(f"{OWN}key"), F.col("removed").alias(f"{OWN}removed"))
-    marked = docs.withColumn(f"{OWN}key", stable_key(F.col(id_column), F.col(text))).join(removed, f"{OWN}key", "left")
+    marked = docs.withColumn(f"{OWN}key", stable_key(F.col(id_column), F.col(text))).join(removed.hint("merge"), f"{OWN}key", "left")
 
     def stays(line, number):
         return ~F.exists(f"{OWN}removed", lambda r: (number >= r["first"]) & (number < r["first"] + r["lines"]))
