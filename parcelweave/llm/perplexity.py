@@ -259,7 +259,8 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.col(text).alias("text"))
     trusted = labels.groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(1))).alias("t"))
     trusted = cut_lineage(trusted.filter("q = 1 and t = 0 and doc_id is not null").select("doc_id"))
-    tables = train(rows.join(trusted, "doc_id"))
+    # Trusted ids grow with the corpus, so they are never broadcast.
+    tables = train(rows.join(trusted.hint("merge"), "doc_id"))
     scored = cut_lineage(perplexities(rows, tables))
     limits = scored.join(trusted, "doc_id").groupBy("lang").agg(
         (SLACK * F.percentile_approx("perplexity", QUANTILE, 100_000)).alias("most"), (SLACK * F.percentile_approx("peak", QUANTILE, 100_000)).alias("top")

@@ -188,7 +188,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = cut_lineage(kept.groupBy("component_id", "fp").count().select(F.col("component_id").alias(f"{OWN}id"), "count"))
     kept = kept.groupBy(f"{OWN}id").agg(F.sum("count").alias(f"{OWN}n"))
-    rows = docs.join(kept, F.col(key).eqNullSafe(F.col(f"{OWN}id"))).drop(f"{OWN}id")
+    rows = docs.join(kept.hint("merge"), F.col(key).eqNullSafe(F.col(f"{OWN}id"))).drop(f"{OWN}id")
     return rows.filter(F.col(f"{OWN}n") == 1).drop(f"{OWN}n").unionByName(
         _one_each(rows.filter(F.col(f"{OWN}n") > 1).drop(f"{OWN}n"), key)
     )
