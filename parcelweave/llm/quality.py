@@ -172,8 +172,9 @@ def apply_rules(
     order chosen; whether a row is rejected does not.
     """
     ordered = cascade(estimate(docs, rules, rows, text), rules)
-    words = docs.withColumn(f"{OWN}w", words_of(F.col(text)))
-    return words.withColumn(verdict, first_rejection(ordered, F.col(text), F.col(f"{OWN}w"))).drop(f"{OWN}w")
+    # Words are bound inside the expression: a filter on the verdict may be moved below a column of
+    # words, which would then be computed again at every mention.
+    return docs.withColumn(verdict, once(words_of(F.col(text)), lambda w: first_rejection(ordered, F.col(text), w)))
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
