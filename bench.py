@@ -35,11 +35,9 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
 
     from parcelweave.plans import registry
-    from parcelweave.plans.samples import Tables
     from parcelweave.session import drop_scratch, local_session
 
     registry.load()
-    Tables.spread_single_files = True
     spark = local_session(cpus, "bench")
     # Small runs first, so that the timings leave out JVM and worker start-up.
     for name in ("link_instances_to_roofs", "parcel_rollup"):

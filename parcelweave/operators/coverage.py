@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -56,31 +57,39 @@ def coverage_fractions(points: DataFrame, coverage: DataFrame, key: str, *, flag
     )
 
 
-def greedy_cover(coverage: DataFrame, key: str, *, budget: int = 200) -> list[dict]:
-    """Surveys in the order of a greedy cover: each covers most points not yet covered.
+def greedy_cover(coverage: DataFrame, key: str, *, budget: int | None = None) -> DataFrame:
+    """``rank, survey_id, captureDate, points, open_points``: a greedy cover, in order.
 
-    The loop runs on the driver but moves one row per round; the shrinking list of open
-    (point, survey) pairs is written out each round, so plans stay flat.  It ends early when no
-    point is left.  Equal counts take the smaller survey id.
+    Each survey covers most points not yet covered; equal counts take the smaller survey id.  Rounds
+    go on until no point is left, or up to ``budget``; ``open_points`` says how many are left after
+    each.  The shrinking list of open (point, survey) pairs and each round's choice are written out,
+    so plans stay flat and the driver only learns whether a round chose anything.
     """
     open_pairs = cut_lineage(
         coverage.where(F.col("survey_id").isNotNull()).groupBy(key, "survey_id").agg(F.min("captureDate").alias("captureDate"))
     )
-    chosen: list[dict] = []
-    while len(chosen) < budget:
-        top = (
-            open_pairs.groupBy("survey_id")
-            .agg(F.count(F.lit(1)).alias("points"), F.min("captureDate").alias("captureDate"))
-            .orderBy(F.desc("points"), "survey_id")
-            .limit(1)
-            .collect()
-        )
-        if not top:
+    rounds: list[DataFrame] = []
+    while budget is None or len(rounds) < budget:
+        best = F.min(F.struct((-F.col("n")).alias("order"), "survey_id", "n", "day"))
+        counts = open_pairs.groupBy("survey_id").agg(F.count(F.lit(1)).alias("n"), F.min("captureDate").alias("day"))
+        top = cut_lineage(counts.agg(best.alias("b")).where(F.col("b").isNotNull()).select("b.*"))
+        choice = top.first()
+        if choice is None:
             break
-        chosen.append({"survey_id": top[0]["survey_id"], "captureDate": top[0]["captureDate"], "points": top[0]["points"]})
-        gone = open_pairs.where(F.col("survey_id") == F.lit(top[0]["survey_id"])).select(key)
+        gone = open_pairs.where(F.col("survey_id") == F.lit(choice["survey_id"])).select(key)
         open_pairs = cut_lineage(open_pairs.join(gone, key, "left_anti"), replaces=open_pairs)
-    return chosen
+        left = open_pairs.agg(F.count_distinct(key).alias("open_points"))
+        rounds.append(
+            cut_lineage(
+                top.crossJoin(left).select(  # one row by one row
+                    F.lit(len(rounds)).alias("rank"), "survey_id", F.col("day").alias("captureDate"), F.col("n").alias("points"), "open_points"
+                )
+            )
+        )
+    if not rounds:
+        none = coverage.where(F.lit(False))
+        return none.select(F.lit(0).alias("rank"), "survey_id", "captureDate", *[F.lit(0).cast("bigint").alias(c) for c in ("points", "open_points")])
+    return functools.reduce(DataFrame.unionByName, rounds)
 
 
 def latest_event_per_point(surveys: DataFrame, key: str) -> DataFrame:
@@ -92,13 +101,13 @@ def latest_event_per_point(surveys: DataFrame, key: str) -> DataFrame:
     events = surveys.where(F.col("event_id").isNotNull() & (F.col("event_id") != "")).groupBy(key, "event_id").agg(
         F.min(F.struct("event_name", "event_date", "event_type")).alias("info")
     )
-    order = F.struct(F.col("info.event_date").alias("d"))
+    date = F.col("info.event_date")
     ranked = events.groupBy(key).agg(
         F.min_by(
             F.struct("event_id", "info"),
             F.struct(
-                order["d"].isNull().alias("missing"),
-                (-F.unix_date(order["d"].try_cast("date"))).alias("newest"),
+                date.isNull().alias("missing"),
+                (-F.unix_date(date.try_cast("date"))).alias("newest"),
                 F.col("event_id").alias("tie"),
             ),
         ).alias("top"),

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from parcelweave.config import (
     BUILDING_STYLE_CLASSES,
-    PERIL_SCORE_COLUMNS,
-    PERILS,
     INCLUDES,
     PRIMARY_CLASSES,
     ROOF_INSTANCE,
+    SCORE_FIELDS,
     area_unit,
 )
 from parcelweave.functions.columns import half_even, label_name, zero_if_null
@@ -48,6 +47,22 @@ class ApiResult:
     class_ids: Sequence[str] = field(default_factory=tuple)
 
 
+def select_classes(classes: DataFrame, packs: DataFrame, wanted: Sequence[str] = ()) -> DataFrame:
+    """Classes (class_id, description, type) that belong to any of the ``wanted`` packs (pack, class_id).
+
+    Only classes of type ``Feature`` stay; classes of a pack that the catalogue does not describe are
+    left out.  Without wanted packs the catalogue comes back as it is.  An unknown pack raises.
+    """
+    if not wanted:
+        return classes
+    # Pack names are part of the request, so what comes to the driver is as short as the request.
+    found = packs.where(F.col("pack").isin(*wanted))
+    unknown = set(wanted) - {r["pack"] for r in found.select("pack").distinct().collect()}
+    if unknown:
+        raise ValueError(f"unknown packs: {sorted(unknown)}")
+    return classes.where(F.col("type") == "Feature").join(found.select("class_id"), "class_id", "left_semi")
+
+
 def read_catalogue(df: DataFrame) -> list[FeatureClass]:
     """Catalogue table -> plan-time list; it defines output columns, so its size is the schema's."""
     rows = df.orderBy("class_id").collect()
@@ -268,11 +283,10 @@ def weighted_range(
 def score_statistics(resolved: DataFrame, roofs: DataFrame, country_area: str) -> DataFrame:
     """Per area statistics of the resolved headline index (mean to 1 decimal) and peril scores."""
     cols = {"roof_spotlight_index": F.col("rsi.value")}
-    for peril in PERILS:
-        for key, out in INCLUDES[peril]["fields"].items():
-            if out in PERIL_SCORE_COLUMNS:
-                usable = ~F.coalesce(F.col(f"scores.{peril}.skipped"), F.lit(False))
-                cols[out] = F.when(usable, F.col(f"scores.{peril}.{key}"))
+    for peril, fields in SCORE_FIELDS.items():
+        usable = ~F.coalesce(F.col(f"scores.{peril}.skipped"), F.lit(False))
+        for key in fields:
+            cols[INCLUDES[peril]["fields"][key]] = F.when(usable, F.col(f"scores.{peril}.{key}"))
     flat = resolved.join(roofs.select("aoi_id", "feature_id", F.col(country_area).alias("_area")), ["aoi_id", "feature_id"], "left")
     flat = flat.select("aoi_id", "_area", *[v.alias(k) for k, v in cols.items()])
     return weighted_range(flat, ["aoi_id"], list(cols), "_area", {"roof_spotlight_index": 1})

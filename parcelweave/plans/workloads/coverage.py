@@ -57,10 +57,8 @@ def coverage_fractions(t):
 
 @query("greedy_survey_cover")
 def greedy_survey_cover(t):
-    """Greedy cover of points by surveys, at most twelve surveys."""
-    rows = C.greedy_cover(t.coverage().select("user_id", "survey_id", "captureDate"), "user_id", budget=12)
-    data = [(i, r["survey_id"], str(r["captureDate"]), r["points"]) for i, r in enumerate(rows)]
-    return t.spark.createDataFrame(data, "rank int, survey_id string, captureDate string, points bigint")
+    """Greedy cover of all points by surveys."""
+    return C.greedy_cover(t.coverage().select("user_id", "survey_id", "captureDate"), "user_id")
 
 
 _EVENTS = """

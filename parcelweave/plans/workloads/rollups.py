@@ -22,6 +22,18 @@ from parcelweave.plans.samples import CATALOGUE, ctes, half_even_sql as he
 FEATURE_CLASS_IDS = [c.class_id for c in CATALOGUE if c.class_id != ROOF_INSTANCE]
 
 
+@query("select_classes", """
+select p_partkey as class_id, p_name as description from part
+where p_size % 4 <> 0 and (p_type in ('PROMO', 'ECONOMY') or p_brand = 'Brand#13')""")
+def select_classes(t):
+    """Classes of three packs; a class may be in several, and one of another type is left out."""
+    ids = F.col("p_partkey").alias("class_id")
+    kind = F.when(F.col("p_size") % 4 == 0, "Region").otherwise("Feature").alias("type")
+    classes = t.part.select(ids, F.col("p_name").alias("description"), kind)
+    packs = t.part.select(F.col("p_type").alias("pack"), ids).unionByName(t.part.select(F.col("p_brand").alias("pack"), ids))
+    return rollup.select_classes(classes, packs, ["PROMO", "ECONOMY", "Brand#13"]).drop("type")
+
+
 def _observed_sql(c) -> str:
     if c.class_id == ROOF_INSTANCE:
         return "r_ok"

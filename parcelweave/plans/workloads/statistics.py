@@ -76,7 +76,8 @@ def global_latency_stats(t):
 @query("error_summary", """
 with e as (select 400 + page_id % 5 as status_code, 'failed: ' || url || ' again' as message from pages)
 select 'status_code' as kind, cast(status_code as string) as value, count(*) as count from e group by all
-union all select 'message', regexp_replace(message, '(https?://[^\\s?]+)\\?\\S*', '\\1?...', 'g'), count(*) from e group by all""")
+union all select 'message', array_to_string(list_transform(string_split(message, ' '),
+  lambda w: case when contains(w, '://') and contains(w, '?') then split_part(w, '?', 1) || '?...' else w end), ' '), count(*) from e group by all""")
 def error_summary(t):
     """Errors by status and by message without URL queries."""
     e = t.pages.select((F.col("page_id") % 5 + 400).alias("status_code"), F.concat(F.lit("failed: "), F.col("url"), F.lit(" again")).alias("message"))

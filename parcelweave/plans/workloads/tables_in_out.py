@@ -135,6 +135,14 @@ def parse_metadata(t):
     return m.select("aoi_id", "system_version", "link", "survey_date", "survey_resource_id", "mesh_date")
 
 
+@query("unreadable_payloads", ctes("features") + """
+select distinct aoi_id, 'payload is not valid JSON' as message from features where cast(aoi_id as bigint) % 7 = 0""")
+def unreadable_payloads(t):
+    """Payloads cut off on their way are errors, not answers."""
+    cut = F.when(F.col("aoi_id").cast("bigint") % 7 == 0, F.substring("payload", 1, 60)).otherwise(F.col("payload"))
+    return payloads.unreadable_payloads(landed(t).withColumn("payload", cut)).select("aoi_id", "message")
+
+
 @query("parse_roof_age", ctes("features") + f"""
 select aoi_id, feature_id, kind, area_sqm, survey_date as installation_date, trust_score, 'res' || cast(first_page as string) as resource_id, 'http://m?locationMarker' as map_browser_url
 from (select *, min(l_linenumber % 2) over (partition by aoi_id) as first_page from features where class_id = '{ROOF_INSTANCE}')""")

@@ -48,12 +48,13 @@ def read_table(spark: SparkSession, path: str, format: str | None = None) -> Dat
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """FeatureCollection files: properties become columns, the geometry is parsed."""
-    raw = spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
-    features = raw.select(F.explode("features").alias("f"))
-    props = [f.name for f in features.schema["f"].dataType["properties"].dataType.fields]
-    # primitivesAsString quotes the coordinates; unquote them before parsing.
-    text = F.regexp_replace(F.to_json("f.geometry"), r'"(-?[0-9][0-9.eE+-]*)"', "$1")
-    shape = G.from_geojson(text)
+    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+    properties = reader.json(path).select(F.explode("features").alias("f")).schema["f"].dataType["properties"].dataType
+    props = [f.name for f in properties.fields]
+    # Each geometry stays JSON text: polygons and multi-polygons of one file nest to different depths.
+    feature = T.StructType([T.StructField("geometry", T.StringType()), T.StructField("properties", properties)])
+    features = reader.schema(T.StructType([T.StructField("features", T.ArrayType(feature))])).json(path).select(F.explode("features").alias("f"))
+    shape = G.from_geojson(F.col("f.geometry"))
     return features.select(*[F.col(f"f.properties.`{p}`").alias(p) for p in props], shape.alias("geometry"))
 
 

@@ -34,9 +34,19 @@ def parsed_features(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("p", F.from_json("payload", FEATURE_PAYLOAD))
 
 
+def unreadable_payloads(payloads: DataFrame) -> DataFrame:
+    """Errors (aoi_id, status_code, message): payloads that are no JSON or lack the features list.
+
+    Their areas count as not answered."""
+    bad = parsed_features(payloads).where(F.col("p.features").isNull())
+    broken = F.try_parse_json("payload").isNull()
+    text = F.when(broken, "payload is not valid JSON").otherwise("payload has no features")
+    return bad.select("aoi_id", F.lit(None).cast("int").alias("status_code"), text.alias("message"))
+
+
 def feature_metadata(payloads: DataFrame) -> DataFrame:
-    """One metadata row per payload."""
-    p = parsed_features(payloads)
+    """One metadata row per readable payload."""
+    p = parsed_features(payloads).where(F.col("p.features").isNotNull())
     return p.select(
         "aoi_id", F.col("p.systemVersion").alias("system_version"),
         with_location_marker(F.col("p.link")).alias("link"),
@@ -51,14 +61,11 @@ def _with_model_version(payload: Column, include: Column, api_key: str) -> Colum
     """Put the response-level model version into an include object."""
     version = payload["versions"][api_key]["modelVersion"]
     fits = include.isNotNull() & F.startswith(include, F.lit("{")) & version.isNotNull() & (version != "")
-    bare = F.regexp_replace(include, r'"modelVersion"\s*:\s*"[^"]*"\s*,?', "")
-    body = F.regexp_replace(F.regexp_replace(bare, r"^\s*\{\s*", ""), r",?\s*\}\s*$", "")
-    head = F.concat(F.lit('{"modelVersion":'), F.to_json(F.array(version)))
-    # to_json of a one-element array gives a quoted, escaped string in brackets.
-    head = F.regexp_replace(head, r"\[(.*)\]$", "$1")
-    return F.when(
-        fits, F.when(body == "", F.concat(head, F.lit("}"))).otherwise(F.concat(head, F.lit(","), body, F.lit("}")))
-    ).otherwise(include)
+    # Only the object's own key is replaced; values, nested objects included, stay as they are.
+    others = F.map_filter(F.from_json(include, "map<string,variant>"), lambda name, _: name != "modelVersion")
+    given = F.create_map(F.lit("modelVersion"), F.to_variant_object(F.struct(version.alias("v"))))
+    own = F.transform_values(given, lambda _, v: F.variant_get(v, "$.v", "variant"))
+    return F.when(fits, F.to_json(F.map_concat(own, others))).otherwise(include)
 
 
 def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False) -> DataFrame:
@@ -207,7 +214,7 @@ def survey_rows(payloads: DataFrame, key: str = "aoi_id") -> DataFrame:
     kinds = F.coalesce(F.map_keys("s.resources"), F.array().cast("array<string>"))
     ai = F.col("s.resources")["aifeatures"]
     return s.select(
-        key, F.to_timestamp("s.captureDate").alias("captureDate"), F.col("s.id").alias("survey_id"),
+        key, F.try_to_timestamp("s.captureDate").alias("captureDate"), F.col("s.id").alias("survey_id"),
         F.when(F.size(ai) > 0, F.element_at(ai, -1)["id"]).alias("survey_resource_id"),
         *[F.array_contains(kinds, k).alias(k) for k in ("tiles", "aifeatures", "3d")],
         F.col("s.tags").alias("tags"), F.col("s.resources").alias("resources"),

@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelweave.functions import geometry as G
-from parcelweave.functions import kernel as K
+from parcelweave.functions import columns, kernel as K
 from parcelweave.functions.columns import age_years, half_even, snake_name
+from parcelweave.operators import rollup
 from parcelweave.sources import aoi, geoparquet, payloads, sinks
 
 
@@ -129,3 +130,51 @@ def test_permissive_union(spark):
     b = spark.sql("select 5000000000 as k, 2.5e0 as n, 'y' as x")
     out = sinks.union_parts([a, b])
     assert dict(out.dtypes) == {"k": "bigint", "n": "double", "x": "string"} and out.count() == 2
+
+
+def test_mixed_geojson_keeps_all_shapes(spark, tmp_path):
+    square = [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]
+    features = [
+        {"type": "Feature", "properties": {"name": "a"}, "geometry": {"type": "Polygon", "coordinates": square}},
+        {"type": "Feature", "properties": {"name": "b"}, "geometry": {"type": "MultiPolygon", "coordinates": [square]}},
+    ]
+    path = tmp_path / "mixed.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    rows = aoi.read_aois(spark, str(path)).select("name", G.area(F.col("geometry")).alias("a")).collect()
+    assert sorted((r.name, r.a) for r in rows) == [("a", 1.0), ("b", 1.0)]
+
+
+def test_unreadable_payloads_are_errors(spark):
+    good = '{"systemVersion": "s", "features": []}'
+    rows = [("1", good), ("2", good[:20]), ("3", '{"systemVersion": "s"}'), ("4", None)]
+    df = spark.createDataFrame(rows, "aoi_id string, payload string")
+    assert [r.aoi_id for r in payloads.feature_metadata(df).collect()] == ["1"]
+    errors = {r.aoi_id: r.message for r in payloads.unreadable_payloads(df).collect()}
+    assert sorted(errors) == ["2", "3", "4"] and "JSON" in errors["2"] and "features" in errors["3"]
+
+
+def test_bad_survey_date_is_null(spark):
+    text = '{"surveys": [{"id": "a", "captureDate": "no date"}, {"id": "b", "captureDate": "2024-05-01"}]}'
+    rows = payloads.survey_rows(spark.createDataFrame([("1", text)], "aoi_id string, payload string")).collect()
+    assert [(r.survey_id, r.captureDate is None) for r in rows] == [("a", True), ("b", False)]
+
+
+def test_nested_model_version_stays(spark):
+    feature = {"id": "f", "roofSpotlightIndex": {"riskScore": 1, "modelVersion": "old", "detail": {"modelVersion": "keep"}}}
+    text = json.dumps({"versions": {"roofSpotlightIndex": {"modelVersion": "new"}}, "features": [feature]})
+    row = payloads.feature_rows(spark.createDataFrame([("1", text)], "aoi_id string, payload string")).first()
+    assert json.loads(row.roof_spotlight_index) == {"riskScore": 1, "modelVersion": "new", "detail": {"modelVersion": "keep"}}
+
+
+def test_url_queries_are_cut(spark):
+    text = "GET https://a.b/c?key=1&x=http://z?y failed:\thttp://d?e  twice? yes http://f"
+    assert one(spark, columns.strip_url_query(F.lit(text))) == "GET https://a.b/c?... failed:\thttp://d?...  twice? yes http://f"
+
+
+def test_unknown_packs_raise(spark):
+    classes = spark.createDataFrame([("c1", "Roof", "Feature"), ("c2", "Zone", "Region")], "class_id string, description string, type string")
+    packs = spark.createDataFrame([("building", "c1"), ("building", "c2"), ("solar", "gone")], "pack string, class_id string")
+    assert [r.class_id for r in rollup.select_classes(classes, packs, ["building", "solar"]).collect()] == ["c1"]
+    assert rollup.select_classes(classes, packs).count() == 2
+    with pytest.raises(ValueError, match="foobar"):
+        rollup.select_classes(classes, packs, ["building", "foobar"])
