@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelweave.config import (
@@ -85,14 +86,16 @@ def _attach(features: DataFrame, summary: DataFrame, class_id: str, role: str, n
 
 def parcel_tables(
     inputs: ExportInputs, country: str, *, method: str = "largest", alpha: bool = False, beta: bool = False,
-    linked: DataFrame | None = None, recalculate_clipped: bool = False, component_names: Sequence[str] = (),
-    model_input_names: Sequence[str] = (), zones: Sequence[int] = (0, 1, 2), storeys: Sequence[str] = (),
-    damage_names: Sequence[str] = (),
+    linked: DataFrame | None = None, recalculate_clipped: bool = True, gridded_aois: DataFrame | None = None,
+    cell_size: float = 0.002, component_names: Sequence[str] | None = None, model_input_names: Sequence[str] | None = None,
+    zones: Sequence[int] | None = None, storeys: Sequence[str] | None = None, damage_names: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rollup: one row per area with class metrics, primary attributes and resolved scores.
 
-    Dynamic column families (components, model inputs, storeys, damage classes) come out for the
-    declared names.
+    Dynamic column families (components, model inputs, storeys, damage classes, zones) come out for
+    the declared names, or, where none are declared, for every name that occurs in the run.
+    Components of clipped primary roofs are recomputed from child outlines, as in :func:`roof_table`;
+    roofs of ``gridded_aois`` are clipped to their area first.
     """
     linked = linked if linked is not None else linked_features(inputs, country)
     keep = ["attributes", "damage", "primary_child_roof_age_feature_id", *ROOF_AGE_COLUMNS]
@@ -104,19 +107,72 @@ def parcel_tables(
     base = rollup.parcel_rollup(
         inputs.aois, linked, inputs.catalogue, country, method=method, api_results=apis, alpha=alpha, beta=beta, keep=keep
     )
-    out = primary_attributes(base, country, inputs.catalogue, component_names, storeys, damage_names)
-    if inputs.roof_instances is not None:
-        out = _linked_primary_instance(out, linked, country)
     roofs = linked.where(F.col("class_id") == ROOF)
+    if recalculate_clipped and "primary_roof_feature_id" in base.columns and "geometry" in linked.columns:
+        parents = spatial.clip_gridded_roofs(roofs, gridded_aois) if gridded_aois is not None else roofs
+        redo = spatial.component_overlaps(parents, linked.where(F.col("class_id") != ROOF), country, cell_size=cell_size)
+        redo = redo.select("aoi_id", F.col("feature_id").alias("primary_roof_feature_id"), F.col("recalc").alias("_recalc"))
+        base = base.join(redo, ["aoi_id", "primary_roof_feature_id"], "left")
     resolved = chains.resolve_scores(linked, roofs.select("aoi_id", "feature_id", "parent_building_id"))
-    out = primary_scores(out, resolved, country, model_input_names, zones)
+    names = dict(component=component_names, model_input=model_input_names, zone=zones, storey=storeys, damage=damage_names)
+    if any(v is None for v in names.values()):
+        found = dynamic_names(linked, resolved, inputs.metadata, country)
+        names = {k: found[k] if v is None else v for k, v in names.items()}
+    out = primary_attributes(base, country, inputs.catalogue, names["component"], names["storey"], names["damage"])
+    if inputs.roof_instances is not None:
+        out = _linked_primary_instance(out, linked, country)
+    out = primary_scores(out, resolved, country, names["model_input"], names["zone"])
     stats = rollup.score_statistics(resolved, roofs, f"clipped_area_{area_unit(country)}")
     out = out.join(stats, "aoi_id", "left")
     if "aggregate" in inputs.metadata.columns:
-        out = out.join(aggregate_zones(inputs.metadata, country, zones), "aoi_id", "left")
+        out = out.join(aggregate_zones(inputs.metadata, country, names["zone"]), "aoi_id", "left")
     return out.drop("primaries")
 
 
+def dynamic_names(linked: DataFrame, resolved: DataFrame, metadata: DataFrame, country: str) -> dict[str, list]:
+    """Names of each dynamic column family that occur in the run, sorted.
+
+    They are reduced to distinct names in Spark; how many there are is set by the class catalogue, not by
+    the number of features.  Zones hold the three known ones at least.
+    """
+    u = area_unit(country)
+    attrs = attributes.parse_attributes(F.col("attributes"))
+    has = linked.columns
+
+    def tagged(kind: str, keys) -> Column:
+        return F.transform(F.coalesce(keys, F.array().cast("array<string>")), lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("name")))
+
+    frames = []
+    if "attributes" in has:
+        numbers = F.map_keys(attributes.to_map(attributes.component_numbers(attrs, country)))
+        storeys = F.map_keys(attributes.building_3d_columns(attrs, country)["storeys"])
+        per = F.when(F.col("class_id").isin(ROOF, POOL), tagged("component", numbers)).when(F.col("class_id") == BUILDING, tagged("storey", storeys))
+        frames.append(linked.where(F.col("class_id").isin(ROOF, POOL, BUILDING)).select(F.explode(per).alias("x")))
+    if "damage" in has:
+        lifecycles = attributes.flatten_lifecycle_damage(linked.where(F.col("class_id") == BUILDING_LIFECYCLE).select("damage"))
+        frames.append(lifecycles.select(F.explode(tagged("damage", F.map_keys("damage_numbers"))).alias("x")))
+    inputs = [F.coalesce(F.map_keys(includes.model_inputs(k, F.col(f"scores.{k}"))), F.array().cast("array<string>")) for k in PERILS]
+    ds = F.map_keys(includes.defensible_space_metrics(F.col("scores.defensible_space"), country))
+    frames.append(resolved.select(F.explode(F.concat(tagged("model_input", F.concat(*inputs)), tagged("zone", ds))).alias("x")))
+    if "aggregate" in metadata.columns:
+        payload = includes.parse_include("defensible_space", F.get_json_object("aggregate", "$.defensibleSpace"))
+        own = metadata.select(payload.alias("p")).select(F.map_keys(includes.defensible_space_metrics(F.col("p"), country)).alias("k"))
+        frames.append(own.select(F.explode(tagged("zone", F.col("k"))).alias("x")))
+    rows = functools.reduce(DataFrame.unionByName, frames).select("x.*").distinct().collect()
+    out = {k: set() for k in ("component", "storey", "damage", "model_input", "zone")}
+    for kind, name in rows:
+        if kind == "component" and name.endswith(f"_area_{u}"):
+            out[kind].add(name.removesuffix(f"_area_{u}"))
+        elif kind == "storey":
+            out[kind].add(name.removeprefix("num_storeys_").removesuffix("_confidence"))
+        elif kind == "zone":
+            out[kind].add(int(name.removeprefix("defensible_space_zone_").partition("_")[0]))
+        elif kind in ("damage", "model_input"):
+            out[kind].add(name)
+    out["zone"] |= {0, 1, 2}
+    return {k: sorted(v) for k, v in out.items()}
+
+
 def primary_attributes(
     base: DataFrame, country: str, catalogue, component_names=(), storeys=(), damage_names=()
 ) -> DataFrame:
@@ -129,10 +185,11 @@ def primary_attributes(
         attrs = F.col("_roof_attrs")
         head = f"primary_{ids[ROOF]}_"
         parsed["_roof_attrs"] = attributes.parse_attributes(p[ROOF]["attributes"])
-        cols.update(attributes.dominants(attrs, country))
+        recalc = F.col("_recalc") if "_recalc" in base.columns else None
+        cols.update(attributes.dominants(attrs, country, recalc))
         cols.update({head + k: v for k, v in attributes.roof_3d_columns(attrs).items()})
-        cols["_roof_numbers"] = attributes.to_map(attributes.component_numbers(attrs, country))
-        cols["_roof_texts"] = attributes.to_map(attributes.component_texts(attrs))
+        cols["_roof_numbers"] = attributes.to_map(attributes.component_numbers(attrs, country, recalc))
+        cols["_roof_texts"] = attributes.to_map(attributes.component_texts(attrs, recalc))
     if BUILDING in ids:
         attrs = F.col("_building_attrs")
         parsed["_building_attrs"] = attributes.parse_attributes(p[BUILDING]["attributes"])
@@ -170,7 +227,7 @@ def primary_attributes(
             named[f"primary_{ids[BUILDING]}_num_storeys_{k}_confidence"] = half_even(
                 F.col("_storeys")[f"num_storeys_{k}_confidence"], 2
             )
-    return staged.withColumns(named).drop("_roof_numbers", "_roof_texts", "_storeys", "_pool_numbers", "_pool_texts")
+    return staged.withColumns(named).drop("_roof_numbers", "_roof_texts", "_storeys", "_pool_numbers", "_pool_texts", "_recalc")
 
 
 def _linked_primary_instance(out: DataFrame, linked: DataFrame, country: str) -> DataFrame:

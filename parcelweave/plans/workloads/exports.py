@@ -58,7 +58,7 @@ def export_rollup(t):
     """The finished rollup of the whole run: links, primaries, scores, statistics, metadata."""
     i = inputs(t)
     linked = export.linked_features(i, "au", cell_size=CELL)
-    r = export.parcel_tables(i, "au", linked=linked, component_names=["metal"])
+    r = export.parcel_tables(i, "au", linked=linked, cell_size=CELL)
     out = export.finished_rollup(r, i, "au")
     return out.select("aoi_id", "status", "system_version", "feature_api_success", "roof_count")
 

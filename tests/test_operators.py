@@ -276,3 +276,28 @@ def test_defensible_space_defaults(spark):
     m = spark.range(1).select(includes.defensible_space_metrics(includes.parse_include("defensible_space", F.lit(text)), "us").alias("m")).first()["m"]
     assert m["defensible_space_zone_1_zone_area_sqft"] == 7.5 and m["defensible_space_zone_1_roof_area_sqft"] == 0.0
     assert len(m) == 7
+
+
+@pytest.mark.parametrize("gridded", [False, True])
+def test_rollup_of_clipped_roofs_equals_roof_table(spark, gridded):
+    """The primary roof's recalculated components are the same in both outputs, named by the data alone."""
+    raw = spark.read.json(os.path.join(HERE, "resources", "sample_area_features.json"))
+    tile = '[{"description":"Roof material","components":[{"description":"Tile","classId":"tile","areaSqm":9,"areaSqft":97,"ratio":0.4,"confidence":0.5}]}]'
+    f = raw.where(F.col("class_id").isin(ROOF, BUILDING)).withColumns({
+        "geometry": G.from_wkt(F.col("geometry")), "damage": F.lit(None).cast("string"), "mesh_date": F.lit(None).cast("string"),
+        "attributes": F.when(F.col("class_id") == ROOF, tile).otherwise("[]"),
+    })
+    kids = f.where(F.col("class_id") == ROOF).withColumns({
+        "class_id": F.lit("tile"), "feature_id": F.concat(F.lit("k"), "feature_id"), "confidence": F.lit(0.75), "attributes": F.lit("[]"),
+    })
+    f = f.unionByName(kids)
+    aois = spark.createDataFrame([("area",)], "aoi_id string").withColumn("geometry", G.box(F.lit(-112.0), F.lit(33.4), F.lit(-111.9), F.lit(33.5)))
+    meta = spark.createDataFrame([("area", "gen6", "2025-10-24")], "aoi_id string, system_version string, survey_date string")
+    inputs = export.ExportInputs(aois, f, meta, [rollup.FeatureClass(ROOF, "Roof"), rollup.FeatureClass(BUILDING, "Building")])
+    linked = export.linked_features(inputs, "us")
+    cells = aois.select("aoi_id", "geometry") if gridded else None
+    row = export.parcel_tables(inputs, "us", linked=linked, gridded_aois=cells).first()
+    roofs = {r["feature_id"]: r for r in export.roof_table(linked, "us", cells).collect()}
+    want = roofs[row["primary_roof_feature_id"]]["roof_numbers"]
+    assert row["primary_roof_tile_area_sqft"] == pytest.approx(want["tile_area_sqft"]) and want["tile_area_sqft"] > 97
+    assert row["primary_roof_tile_ratio"] == pytest.approx(want["tile_ratio"]) == pytest.approx(1.0, abs=1e-6)
