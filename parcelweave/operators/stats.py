@@ -69,7 +69,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: S
     found = ranked.join(wanted, [*keys, "_i"]).groupBy(*keys, "_i", "rank").agg(
         F.max(at(F.floor("rank"))).alias("a"), F.max(at(F.ceil("rank"))).alias("b")
     )
-    point = F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank"))
+    missed = F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")
+    point = F.when(F.col("a").isNull() | F.col("b").isNull(), missed).otherwise(
+        F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank"))
+    )
     return found.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, point)).alias(f"p{_name(p)}") for i, p in enumerate(percentiles)]
     )

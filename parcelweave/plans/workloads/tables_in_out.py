@@ -6,20 +6,21 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from parcelweave.config import BUILDING, POOL, ROOF, ROOF_INSTANCE
+from parcelweave.config import BUILDING, ROOF, ROOF_INSTANCE
 from parcelweave.functions import geometry as G
 from parcelweave.functions.columns import half_even
 from parcelweave.operators import rollup
 from parcelweave.plans.registry import query
 from parcelweave.plans.samples import CATALOGUE, ctes, half_even_sql as he
-from parcelweave.session import shared_dir
+from parcelweave.session import scratch_path
 from parcelweave.sources import aoi, geoparquet, payloads, sinks
 from parcelweave.sources.ids import dense_ids
 from parcelweave.streaming import ingest
 
 
 def _scratch(t, name: str) -> str:
-    return f"{shared_dir(t.spark).rstrip('/')}/parcelweave-{name}-{uuid.uuid4().hex}"
+    """A fresh folder that drop_scratch deletes with everything in it."""
+    return scratch_path(t.spark, f"{name}-{uuid.uuid4().hex}") + "/data"
 
 
 def _box_text(kind: str):
@@ -240,12 +241,12 @@ def geoparquet_round_trip(t):
     return back.select("aoi_id", "feature_id", "class_id", G.area(F.col("geometry")).alias("area"))
 
 
-@query("class_tables", ctes("features") + f"select aoi_id, feature_id, class_id from features where class_id in ('{ROOF}', '{POOL}')")
+@query("class_tables", ctes("features") + "select aoi_id, feature_id, class_id from features")
 def class_tables(t):
-    """Per-class tables, of which two are read back by partition."""
+    """Per-class tables, all read back."""
     path = _scratch(t, "classes")
     sinks.write_class_tables(t.features().select("aoi_id", "feature_id", "class_id"), path)
-    return t.spark.read.parquet(path).where(F.col("class_id").isin(ROOF, POOL)).select("aoi_id", "feature_id", "class_id")
+    return t.spark.read.parquet(path).select("aoi_id", "feature_id", "class_id")
 
 
 @query("csv_output", ctes("features") + """
