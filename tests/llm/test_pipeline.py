@@ -50,8 +50,8 @@ def test_stages_equal_plain_version(spark):
 
 
 def odd(spark):
-    prose = " ".join(f"word{i} of plain prose" for i in range(60))
-    long = "\n".join(f"line {i} of a very long text goes on" for i in range(8_000))
+    prose = " ".join(f"word{i} of{i} plain prose{i}" for i in range(60))
+    long = "\n".join(f"line{i} of{i} a very{i} long text{i} goes{i}" for i in range(8_000))
     rows = [(1, prose, "en", "a", 5, 1, "k"), (1, prose, "en", "a", 5, 1, "k"), (2, None, "en", "a", None, 1, "k"), (3, "", None, None, 0, None, None), (4, long, "en", None, 9, 2, "k"), (None, prose + " and an end", "en", "a", 5, 3, "k"), (6, "few words", None, "b", 1, 4, "k")]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, size int, taken string")
 
