@@ -24,6 +24,8 @@ ORDER, BITS = 5, 5
 SHARD_ROWS = 1 << (BITS * ORDER)
 #: Distinct n-grams that a counting task gathers before it hands them on.
 GATHER_ROWS = 2_000_000
+#: Bytes of text whose n-grams are in memory at a time, but for a single longer text.
+RUN_BYTES = 1_500_000
 #: Bytes over which the peak of a document is averaged: about a word.
 PEAK = 6
 #: A document is kept up to this quantile of its language's trusted documents, times the slack.
@@ -75,7 +77,7 @@ def _batches(batch, first: int) -> Iterator[tuple[str, np.ndarray, list[bytes]]]
             rows.append(int(i))
             part.append(text)
             size += len(text)
-            if size > 4_000_000:
+            if size > RUN_BYTES:
                 yield lang, np.array(rows), part
                 rows, part, size = [], [], 0
         if rows:
@@ -225,7 +227,8 @@ def perplexities(docs: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) ->
     long text.  A text without bytes has a null perplexity and no peak.
     """
     spark = prepare(docs.sparkSession)
-    logp = cut_lineage(probabilities(tables, gram_counts(docs).select("lang", "gram")))
+    wanted = cut_lineage(gram_counts(docs).select("lang", "gram"))
+    logp = cut_lineage(probabilities(tables, wanted))
     blobs = logp.groupBy("lang", F.shiftright("gram", 20).alias("range")).applyInArrow(lambda rows: _packed(rows), "lang string, first long, codes binary, logs binary")
     blobs = cut_lineage(blobs)
     scored = None
