@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less their multi-line chunks that an earlier document holds; ``n_chars`` follows.
+    """All documents, less their runs of lines that an earlier place holds; ``n_chars`` follows.
 
     Null texts stay null, with the n_chars they came with; a text cut whole becomes empty."""
     cut = lines.dedup_lines(docs)

@@ -1,9 +1,10 @@
-"""Line deduplication by content-defined chunks.
+"""Line deduplication by overlapping windows of lines.
 
-A text is a sequence of lines.  A rolling hash over the hashes of the last few lines cuts it wherever
-the hash is below both its neighbours, so that the same run of lines gives the same chunks at any place
-of any text, a shift only disturbs the chunks at its ends, and no two cuts are next to each other.  Chunks of several lines that occur
-more than once in the corpus are removed but for their first occurrence, after comparing their bytes.
+A text is a sequence of lines.  Each line with words opens the shortest window that is long enough to be
+removed, and closes another one, so that the same run of lines gives the same windows at any place of any
+text, and every line of a run that is long enough lies in a window inside that run: a repeated run is
+found to its ends, however short it is.  Windows that occur more than once in the corpus are removed but
+for their first occurrence, after comparing their bytes.
 """
 
 from __future__ import annotations
@@ -14,17 +15,19 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelweave.llm.common import OWN, cut_lineage, prepare, stable_key
+from parcelweave.llm.common import OWN, cut_lineage, once, prepare, stable_key
 
-#: Lines that the rolling hash sees.
+#: Lines that the rolling hash of :func:`chunk_ends` sees.
 ROLL = 2
-#: A chunk has at least so many lines with words, and so many words, to be removed.
+#: A run has at least so many lines with words, and so many words, to be removed.
 MIN_LINES, MIN_WORDS = 2, 8
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def chunk_ends(lines: list[bytes]) -> list[int]:
-    """Ends (exclusive) of the chunks of a line sequence; the last is the number of lines."""
+    """Ends (exclusive) of the chunks of a line sequence; the last is the number of lines.
+
+    The cuts are coarser than repeated runs are, so the deduplication does not rest on them."""
     import xxhash
 
     if not lines:
@@ -40,13 +43,21 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     return [*low.tolist(), len(lines)]
 
 
-def _long_enough(lines: list[bytes]) -> bool:
+def windows(lines: list[bytes]) -> list[tuple[int, int]]:
+    """First line and end (exclusive) of the shortest runs that are long enough, from each line with
+    words on and up to each line with words."""
     counts = [len(x.split()) for x in lines]
-    return sum(c > 0 for c in counts) >= MIN_LINES and sum(counts) >= MIN_WORDS
+    at = [i for i, c in enumerate(counts) if c]
+    total = np.concatenate([[0], np.cumsum([counts[i] for i in at])]).astype(np.int64)
+    n = np.arange(len(at))
+    last = np.maximum(np.searchsorted(total, total[:-1] + MIN_WORDS) - 1, n + MIN_LINES - 1)
+    first = np.minimum(np.searchsorted(total, total[1:] - MIN_WORDS, side="right") - 1, n - MIN_LINES + 1)
+    found = {(i, j) for i, j in enumerate(last.tolist()) if j < len(at)} | {(i, j) for j, i in enumerate(first.tolist()) if i >= 0}
+    return sorted((at[i], at[j] + 1) for i, j in found)
 
 
-def _chunks(batches: Iterator) -> Iterator:
-    """One row per chunk that is long enough: key and id of the text, first line, number of lines, digest."""
+def _windows(batches: Iterator) -> Iterator:
+    """One row per window: key and id of the text, first line, number of lines, digest."""
     import hashlib
 
     import pyarrow as pa
@@ -54,34 +65,32 @@ def _chunks(batches: Iterator) -> Iterator:
     for batch in batches:
         rows: list[tuple] = []
         for key, number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True):
-            lines, first = (text.as_py() or b"").split(b"\n"), 0
-            for end in chunk_ends(lines):
-                part = lines[first:end]
-                if _long_enough(part):
-                    rows.append((key, number, first, end - first, hashlib.blake2b(b"\n".join(part), digest_size=16).digest()))
-                first = end
+            lines = (text.as_py() or b"").split(b"\n")
+            for first, end in windows(lines):
+                rows.append((key, number, first, end - first, hashlib.blake2b(b"\n".join(lines[first:end]), digest_size=16).digest()))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "id", "first", "lines", "digest"])
 
 
-def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, removed``: per document (see :func:`stable_key`) its chunks that repeat an earlier one of
+def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, removed``: per document (see :func:`stable_key`) its windows that repeat an earlier one of
     the corpus, as an array of (first line, number of lines).
 
     Digests find candidates; their bytes are then read again and grouped whole, so only equal bytes
     count as a repeat.  The first occurrence is that of the smallest id (nulls last), then key, then
-    place.  Groups are reduced to a count and a first occurrence on the map side, so a chunk shared by
-    a third of all documents is no hot spot, and the joins that tell occurrences of their group are of
-    two plain tables, whose skewed keys adaptive execution splits.  Joins with the texts are merge joins
-    at every size, as the other side grows with the corpus.
+    place; what overlaps it in its own text is no repeat.  Groups are reduced to a count and a first
+    occurrence on the map side, so a window shared by a third of all documents is no hot spot, and the
+    joins that tell occurrences of their group are of two plain tables, whose skewed keys adaptive
+    execution splits.  Joins with the texts are merge joins at every size, as the other side grows with
+    the corpus.
     """
     prepare(docs.sparkSession)
     rows = docs.select(
         stable_key(F.col(id_column), F.col(text)).alias("key"), F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")
     )
-    found = cut_lineage(rows.mapInArrow(_chunks, "key binary, id long, first int, lines int, digest binary"))
-    # Rows alike in id and text give the same chunks again: they count once.
+    found = cut_lineage(rows.mapInArrow(_windows, "key binary, id long, first int, lines int, digest binary"))
+    # Rows alike in id and text give the same windows again: they count once.
     span = F.struct("key", "first")
     often = found.groupBy("digest").agg(F.min(span).alias("low"), F.max(span).alias("high")).filter("low != high")
     often = cut_lineage(often.select("digest"))
@@ -92,24 +101,27 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     placed = cut_lineage(split.select("key", "id", "part.*", body.alias("body")))
     spot = F.struct(F.col("id").isNull().alias("n"), "id", "key", "first")
     groups = cut_lineage(placed.groupBy("body").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).filter("low != high").select("body", "low"))
-    later = placed.join(groups, "body").filter((F.col("key") != F.col("low.key")) | (F.col("first") != F.col("low.first")))
+    later = placed.join(groups, "body").filter((F.col("key") != F.col("low.key")) | (F.col("first") - F.col("low.first") >= F.col("lines")))
     return cut_lineage(later.groupBy("key").agg(F.collect_set(F.struct("first", "lines")).alias("removed")))
 
 
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """All input rows and columns, repeated multi-line chunks cut out of ``text``.
+    """All input rows and columns, repeated runs of lines cut out of ``text``.
 
-    Null texts stay null and empty ones empty; a text cut whole becomes empty; long texts are chunked
-    whole; rows alike in id and text stand for one document and are cut alike; documents with a null id
+    A line goes if it lies in a run of at least two lines with words and eight words that an earlier
+    place of the corpus holds; lines without words at a run's ends stay.  Null texts stay null and empty
+    ones empty; a text cut whole becomes empty; long texts are read whole; rows alike in id and text stand for one document and are cut alike; documents with a null id
     come last in order; an empty table stays empty.  Further columns of any name are kept.
     """
-    removed = repeated_chunks(docs, id_column, text).select(F.col("key").alias(f"{OWN}key"), F.col("removed").alias(f"{OWN}removed"))
+    removed = repeated_windows(docs, id_column, text).select(F.col("key").alias(f"{OWN}key"), F.col("removed").alias(f"{OWN}removed"))
     marked = docs.withColumn(f"{OWN}key", stable_key(F.col(id_column), F.col(text))).join(removed.hint("merge"), f"{OWN}key", "left")
 
-    def stays(line, number):
-        return ~F.exists(f"{OWN}removed", lambda r: (number >= r["first"]) & (number < r["first"] + r["lines"]))
+    gone = F.flatten(F.transform(f"{OWN}removed", lambda r: F.sequence(r["first"], r["first"] + r["lines"] - 1)))
+
+    def left(lines):
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i))
 
-    cut = F.array_join(F.filter(F.split(F.col(text), "\n"), stays), "\n")
+    cut = F.array_join(once(F.split(F.col(text), "\n"), left), "\n")
     whole = marked.withColumn(text, F.when(F.col(f"{OWN}removed").isNull(), F.col(text)).otherwise(cut))
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns])
 

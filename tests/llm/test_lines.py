@@ -64,3 +64,32 @@ def test_odd_rows(spark):
 
 def test_empty(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def whole_runs(rows):
+    """Texts of (id, text) less all lines in a run of two lines with words and eight words at least that
+    an earlier place holds and does not overlap, by trying every run."""
+    first, out = {}, {}
+    for doc, text in sorted(rows):
+        lines, gone = text.split("\n"), set()
+        counts = [len(x.encode().split()) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a + 2, len(lines) + 1):
+                part = counts[a:b]
+                if part[0] and part[-1] and sum(c > 0 for c in part) >= 2 and sum(part) >= 8:
+                    before = first.setdefault("\n".join(lines[a:b]), (doc, a, b))
+                    if before[0] != doc or a >= before[2]:
+                        gone |= set(range(a, b))
+        out[doc] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+def test_every_repeated_run_is_cut_to_its_ends(spark):
+    rows = duckdb.connect().execute(f"select doc_id, text from '{SF}/documents.parquet' where length(text) < 20000").fetchall()
+    pair = "one line of five words\nand a second of them"
+    tiny = "a b\n\nc d\ne\nf g h"
+    rows += [(10**7 + i, t) for i, t in enumerate([f"x\n{pair}\ny", f"{pair}\nz z", f"p\nq\n{pair}", f"{tiny}\nend", f"start\n{tiny}", "\n".join(["same words on a line"] * 5), "u u u u v\nu u u u v\nu u u u v"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    assert got == whole_runs(rows)
+    assert [got[10**7 + i] for i in (1, 2, 4)] == ["z z", "p\nq", "start"]
