@@ -33,16 +33,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id.
+    """One document of each group of near-duplicates: that with the smallest id, nulls last.
 
-    Texts without words are one group; of rows that share the id, one stays."""
+    Texts without words are one group; of rows alike in id and text, one stays."""
     return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by a benchmark item.
 
-    Texts without words are kept; rows of one id go together."""
+    Texts without words are kept; each row is judged by its own text."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 

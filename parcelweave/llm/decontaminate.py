@@ -19,14 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelweave.llm.common import OWN, cut_lineage, prepare
+from parcelweave.llm.common import OWN, cut_lineage, prepare, stable_key
 
 WINDOW = 13
 #: Words of test items handled in one round, whose phrases each task holds in memory.
 BLOCK_WORDS = 500_000
 #: Words of text in a segment at most, but for a single longer document.
 SEGMENT_WORDS = 1_000_000
-INDEX = "segment long, term binary, positions array<int>, keys array<long>"
+INDEX = "segment long, term binary, positions array<int>, keys array<{kind}>"
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -36,8 +36,9 @@ def tokens(text: bytes | None) -> list[bytes]:
     return re.findall(rb"[0-9a-z\x80-\xff]+", (text or b"").lower())
 
 
-def build_index(docs: DataFrame, vocabulary: Sequence[bytes] | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Index rows of all documents; with ``vocabulary`` only its words get positions."""
+def build_index(docs: DataFrame, vocabulary: Sequence[bytes] | None, key: str = "doc_id", text: str = "text", kind: str = "long") -> DataFrame:
+    """Index rows of all documents; with ``vocabulary`` only its words get positions.  Keys are of type
+    ``kind``, long or binary."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(None if vocabulary is None else sorted(vocabulary))
 
@@ -56,15 +57,15 @@ def build_index(docs: DataFrame, vocabulary: Sequence[bytes] | None, key: str =
                     words += tokens(texts[at].as_py())
                     starts.append(len(words))
                     at += 1
-                yield _segment(number, words, starts, keys[first:at], known)
+                yield _segment(number, words, starts, keys[first:at], known, batch.column(0).type)
                 number += 1
                 first = at
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, INDEX)
+    rows = docs.select(F.col(key).cast(kind).alias("key"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, INDEX.format(kind=kind))
 
 
-def _segment(number: int, words: list[bytes], starts: list[int], keys: list, known):
+def _segment(number: int, words: list[bytes], starts: list[int], keys: list, known, kind):
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -85,7 +86,7 @@ def _segment(number: int, words: list[bytes], starts: list[int], keys: list, kno
     offsets = np.concatenate([[0], offsets + len(starts)]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(positions))
     terms = pa.concat_arrays([pa.array([b""], pa.binary()), names.take(pa.array(used))])
-    ids = pa.array([keys] + [None] * len(used), pa.list_(pa.int64()))
+    ids = pa.array([keys] + [None] * len(used), pa.list_(kind))
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(terms), number, dtype=np.int64)), terms, lists, ids], ["segment", "term", "positions", "keys"]
     )
@@ -199,7 +200,7 @@ def _matcher(shared):
             {
                 "segment": pa.array([rows.column("segment")[0].as_py()] * len(keys), pa.int64()),
                 "place": pa.array(range(len(keys)), pa.int32()),
-                "doc_id": pa.array(keys, pa.int64()),
+                "doc_id": pa.array(keys, rows.column("keys").type.value_type),
                 "n_words": pa.array(np.diff(starts), pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
@@ -209,7 +210,7 @@ def _matcher(shared):
     return run
 
 
-MATCHES = "segment long, place int, doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+MATCHES = "segment long, place int, doc_id {kind}, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
 
 
 def _blocks(items: DataFrame, item: str, text: str) -> Iterator[dict[str, list[bytes]]]:
@@ -226,23 +227,23 @@ def _blocks(items: DataFrame, item: str, text: str) -> Iterator[dict[str, list[b
         yield block
 
 
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", kind: str = "long") -> DataFrame:
     """One row per document: doc_id, n_words, ``spans`` of words inside any occurrence of a window of a
     test item (merged, from 0, end exclusive), and ``items``, the sorted ids of the items found.
 
     A window is 13 consecutive words of an item, or all of a shorter one.  Null and empty texts have no
     words and no match; null ids stay, and repeated rows each give a row; items without words match
     nothing; an item with a null id goes by ``null``.  Very long documents are one segment.  Either
-    table may be empty; further columns are left out.
+    table may be empty; further columns are left out.  Ids are of type ``kind``, long or binary.
 
     The test set is taken in blocks of bounded size, each against the whole index.
     """
     blocks = list(_blocks(items, item, item_text))
     vocabulary = {w for block in blocks for words in block.values() for w in words} if len(blocks) == 1 else None
-    index = cut_lineage(build_index(docs, vocabulary, key, text))
+    index = cut_lineage(build_index(docs, vocabulary, key, text, kind))
     found = None
     for block in blocks:
-        part = _match_block(index, block, len(blocks) > 1)
+        part = _match_block(index, block, len(blocks) > 1, kind)
         found = part if found is None else found.unionByName(part)
     if len(blocks) > 1:
         found = found.groupBy("segment", "place").agg(
@@ -269,7 +270,7 @@ def merged(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), empty, step)
 
 
-def _match_block(index: DataFrame, block: dict[str, list[bytes]], narrow: bool) -> DataFrame:
+def _match_block(index: DataFrame, block: dict[str, list[bytes]], narrow: bool, kind: str) -> DataFrame:
     spark = index.sparkSession
     words = {w for item in block.values() for w in item}
     if narrow:  # an index of all words: read only this block's, and the segments' own rows
@@ -283,7 +284,7 @@ def _match_block(index: DataFrame, block: dict[str, list[bytes]], narrow: bool)
     for group in known:
         group.items = [sorted({x.partition("\x00")[0] for x in owners}) for owners in group.items]
     shared = spark.sparkContext.broadcast((codes, known))
-    return index.groupBy("segment").applyInArrow(_matcher(shared), MATCHES)
+    return index.groupBy("segment").applyInArrow(_matcher(shared), MATCHES.format(kind=kind))
 
 
 def proximity_matches(docs: DataFrame, queries: dict[str, Sequence[str]], within: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -331,7 +332,9 @@ def judged(matches: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with the input's columns.  Rows of one id fall together
-    if one of them is contaminated."""
-    bad = judged(contamination(docs, items, key, text)).filter("contaminated").select(F.col("doc_id").alias(f"{OWN}id")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col(f"{OWN}id")), "left_anti")
+    """The documents that are not contaminated, with the input's columns.  Each is judged by its own
+    text, whatever other rows have its id or have none."""
+    own = stable_key(F.col(key), F.col(text))
+    rows = docs.select(own.alias("key"), F.col(text).alias("text"))
+    bad = judged(contamination(rows, items, "key", "text", kind="binary")).filter("contaminated").select(F.col("doc_id").alias(f"{OWN}key")).distinct()
+    return docs.withColumn(f"{OWN}key", own).join(bad, f"{OWN}key", "left_anti").drop(f"{OWN}key")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelweave.llm.common import OWN, cut_lineage, prepare
+from parcelweave.llm.common import OWN, cut_lineage, prepare, stable_key
 from parcelweave.llm.components import components
 
 #: Differing bits up to which fingerprints link; anchors are made for this number.
@@ -56,10 +56,11 @@ def _fingerprints(batches: Iterator) -> Iterator:
 
     find = re.compile(rb"[^\x20\x09-\x0D]+").findall
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        *others, text = batch.columns
+        texts = text.cast(pa.binary()).to_pylist()
         # bytes.lower() changes A-Z only, which is what is wanted.
         out = np.array([fingerprint(find((t or b"").lower())) for t in texts], dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["key", "fp"])
+        yield pa.RecordBatch.from_arrays([*others, pa.array(out.view(np.int64))], [*batch.schema.names[:-1], "fp"])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -156,10 +157,17 @@ def links(distinct: DataFrame) -> DataFrame:
     fps = distinct.select("fp")
     near = fps.mapInArrow(_spread(1), "anchor long, fp1 long")
     far = fps.mapInArrow(_spread(2), "anchor long, fp2 long")
-    met = near.join(far, "anchor").filter((F.col("fp1") < F.col("fp2")) & (F.bit_count(F.col("fp1").bitwiseXOR(F.col("fp2"))) <= DISTANCE))
+    # Many rows a fingerprint, which no estimate foresees: never a broadcast.
+    met = near.join(far.hint("merge"), "anchor").filter((F.col("fp1") < F.col("fp2")) & (F.bit_count(F.col("fp1").bitwiseXOR(F.col("fp2"))) <= DISTANCE))
     return met.select(F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct()
 
 
+def _rooted(distinct: DataFrame) -> DataFrame:
+    """``fp, first, root`` of a table of distinct ``fp`` with ``first``: the root is the same all over a component."""
+    roots = components(links(distinct))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``fp`` (signed long), ``component_id``.
 
@@ -171,30 +179,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     marked = cut_lineage(fingerprints(docs, key, text))
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("key").alias("first")))
-    roots = components(links(distinct))
-    known = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    known = _rooted(distinct)
     tops = known.groupBy("root").agg(F.min("first").alias("component_id"))
     named = cut_lineage(known.join(tops, "root").select("fp", "component_id"))
     return marked.join(named, "fp").select(F.col("key").alias("doc_id"), "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each component, with the input's columns.
+    """One document of each component, with the input's columns: that with the smallest id, nulls last,
+    and of those the smallest :func:`stable_key`.
 
-    Rows that share that id are told apart by content: the one smallest in text, then in the other
-    columns' digest, stays.  A component of null ids only keeps one row.
+    Documents are told apart by id and content, so null ids and ids that several texts share stand for as
+    many documents as there are texts.  Of rows alike in both, the smallest in the other columns stays.
     """
-    groups = near_duplicates(docs, key, text)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = cut_lineage(kept.groupBy("component_id", "fp").count().select(F.col("component_id").alias(f"{OWN}id"), "count"))
-    kept = kept.groupBy(f"{OWN}id").agg(F.sum("count").alias(f"{OWN}n"))
-    rows = docs.join(kept.hint("merge"), F.col(key).eqNullSafe(F.col(f"{OWN}id"))).drop(f"{OWN}id")
-    return rows.filter(F.col(f"{OWN}n") == 1).drop(f"{OWN}n").unionByName(
-        _one_each(rows.filter(F.col(f"{OWN}n") > 1).drop(f"{OWN}n"), key)
-    )
-
-
-def _one_each(rows: DataFrame, key: str) -> DataFrame:
-    """One row per id, the same in every run."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    return rows.groupBy(F.col(key).alias(f"{OWN}id")).agg(F.min(whole).alias(f"{OWN}row")).select(f"{OWN}row.*")
+    prepare(docs.sparkSession)
+    rows = docs.select(stable_key(F.col(key), F.col(text)).alias("key"), F.col(key).alias("id"), F.col(text).alias("text"))
+    marked = cut_lineage(rows.mapInArrow(_fingerprints, f"key binary, id {docs.schema[key].dataType.simpleString()}, fp long"))
+    each = marked.groupBy("fp", "key").agg(F.first("id").alias("id"), F.count("*").alias("n"))
+    spot = F.struct(F.col("id").isNull().alias("last"), "id", "key", "n")
+    distinct = cut_lineage(each.groupBy("fp").agg(F.min(spot).alias("first")))
+    best = _rooted(distinct).groupBy("root").agg(F.min("first").alias("first"))
+    kept = cut_lineage(best.select(F.col("first.key").alias(f"{OWN}key"), F.col("first.n").alias(f"{OWN}n")))
+    found = docs.withColumn(f"{OWN}key", stable_key(F.col(key), F.col(text))).join(kept.hint("merge"), f"{OWN}key")
+    one = found.filter(F.col(f"{OWN}n") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one.unionByName(_one_each(found.filter(F.col(f"{OWN}n") > 1).drop(f"{OWN}n")))
+
+
+def _one_each(rows: DataFrame) -> DataFrame:
+    """One row per key, the same in every run, without the key."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != f"{OWN}key"])
+    return rows.groupBy(f"{OWN}key").agg(F.min(whole).alias(f"{OWN}row")).select(f"{OWN}row.*")

@@ -5,7 +5,7 @@ import duckdb
 import corpus_pipeline
 from parcelweave.llm import q_decontaminate, q_mixing, q_quality
 from parcelweave.session import cut_lineage
-from tests.llm.test_lines import plain
+from tests.llm.test_lines import plain, whole_runs
 from tests.llm.test_simhash import brute_components, plain_fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +66,21 @@ def test_odd_rows(spark):
     mix = corpus_pipeline.STAGES[-1][1]
     assert mix(spark, none, SF).count() == 0
     assert sum(r.taken for r in mix(spark, left, SF).collect()) > 0
+
+
+def test_rows_of_one_id_or_none_are_told_apart(spark):
+    prose = lambda tag: " ".join(f"{tag}{i} of plain{tag} prose{i * i}" for i in range(80))
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()
+    dirty = max((r.text for r in items), key=len)
+    rows = [(None, prose("a")), (None, prose("b")), (None, prose("b")), (7, prose("c")), (7, prose("d")), (None, prose("c")), (None, dirty), (7, dirty + " x"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = cut_lineage(corpus_pipeline.near_dedup(spark, docs, SF))
+    apart = {(None, prose("a")), (None, prose("b")), (7, prose("c")), (7, prose("d")), (None, None)}
+    assert {tuple(r) for r in first.collect()} - {(None, dirty), (7, dirty + " x")} == apart and first.count() in (6, 7)
+    clean = corpus_pipeline.decontamination(spark, docs, SF)
+    assert sorted(map(str, clean.collect())) == sorted(str(r) for r in docs.collect() if r.text is None or dirty not in r.text)
+
+
+def test_stages_equal_plain_version_of_whole_runs(spark, monkeypatch):
+    monkeypatch.setitem(globals(), "plain", whole_runs)
+    test_stages_equal_plain_version(spark)
