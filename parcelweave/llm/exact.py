@@ -124,8 +124,8 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", capa
     index = build(rows, capacity)
     held = index.entries.groupBy("hash", "digest").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("texts"))
     clash = F.raise_error(F.concat(F.lit("two texts under digest "), F.hex("digest"))).cast("long")
-    told = held.select("hash", "digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(clash).alias("group_size"))
-    # The classes grow with the corpus: a merge join, whose hot keys adaptive execution splits.
+    told = cut_lineage(held.select("hash", "digest", "keep_id", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(clash).alias("group_size")))
+    # The classes grow with the corpus: a merge join of two plain tables, whose hot keys adaptive execution splits.
     return names.join(told.hint("merge"), ["hash", "digest"]).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
