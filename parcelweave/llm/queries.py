@@ -7,7 +7,7 @@ import importlib
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("q_quality", "q_chat", "q_mixing", "q_simhash", "q_pages", "q_lines", "q_warc", "q_decontaminate", "q_perplexity", "q_suffixes", "q_manifest", "q_exact", "q_pipeline")
+_MODULES = ("q_quality", "q_chat", "q_mixing", "q_simhash", "q_pages", "q_lines", "q_warc", "q_decontaminate", "q_perplexity", "q_suffixes", "q_manifest", "q_whitening", "q_exact", "q_pipeline")
 
 
 def load() -> None:
