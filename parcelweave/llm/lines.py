@@ -1,10 +1,13 @@
-"""Line deduplication by overlapping windows of lines.
+"""Line deduplication by content-defined chunks of lines.
 
-A text is a sequence of lines.  Each line with words opens the shortest window that is long enough to be
-removed, and closes another one, so that the same run of lines gives the same windows at any place of any
-text, and every line of a run that is long enough lies in a window inside that run: a repeated run is
-found to its ends, however short it is.  Windows that occur more than once in the corpus are removed but
-for their first occurrence, after comparing their bytes.
+A text is a sequence of lines.  A rolling hash over the hashes of its lines has its boundaries where it is
+lowest among its neighbours, so that the same run of lines is cut alike wherever it stands.  Chunks that
+occur more than once in the corpus are removed but for their first occurrence, after comparing their bytes.
+
+A run's first and last chunk reach beyond it, and a short run lies inside one.  So each match is extended
+to the run's ends: each line with words opens the shortest window that is long enough to be removed, and
+closes another one, and windows that repeat are removed as chunks are.  Those inside a removed chunk need no
+look, as the chunk's first occurrence holds the same ones.
 """
 
 from __future__ import annotations
@@ -25,9 +28,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def chunk_ends(lines: list[bytes]) -> list[int]:
-    """Ends (exclusive) of the chunks of a line sequence; the last is the number of lines.
-
-    The cuts are coarser than repeated runs are, so the deduplication does not rest on them."""
+    """Ends (exclusive) of the chunks of a line sequence; the last is the number of lines."""
     import xxhash
 
     if not lines:
@@ -56,8 +57,23 @@ def windows(lines: list[bytes]) -> list[tuple[int, int]]:
     return sorted((at[i], at[j] + 1) for i, j in found)
 
 
-def _windows(batches: Iterator) -> Iterator:
-    """One row per window: key and id of the text, first line, number of lines, digest."""
+def chunks(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    """First line, end (exclusive) and number of words of each chunk, without the lines at its ends that
+    have no words; chunks without words are left out."""
+    out, start = [], 0
+    counts = [len(x.split()) for x in lines]
+    for end in chunk_ends(lines):
+        at = [i for i in range(start, end) if counts[i]]
+        if at:
+            out.append((at[0], at[-1] + 1, sum(counts[start:end]), len(at)))
+        start = end
+    return [(first, end, words) for first, end, words, worded in out if worded >= MIN_LINES and words >= MIN_WORDS]
+
+
+def _runs(batches: Iterator) -> Iterator:
+    """One row per chunk and per window: key and id of the text, first line, number of lines, digest, and
+    for a window the first line of the chunk around it, -1 if there is none; null for a chunk."""
+    import bisect
     import hashlib
 
     import pyarrow as pa
@@ -66,21 +82,27 @@ def _windows(batches: Iterator) -> Iterator:
         rows: list[tuple] = []
         for key, number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True):
             lines = (text.as_py() or b"").split(b"\n")
+            whole = chunks(lines)
+            starts = [first for first, _, _ in whole]
+            spans = [(first, end, None) for first, end, _ in whole]
             for first, end in windows(lines):
-                rows.append((key, number, first, end - first, hashlib.blake2b(b"\n".join(lines[first:end]), digest_size=16).digest()))
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "id", "first", "lines", "digest"])
+                at = bisect.bisect_right(starts, first) - 1
+                spans.append((first, end, starts[at] if at >= 0 and end <= whole[at][1] else -1))
+            for first, end, around in spans:
+                rows.append((key, number, first, end - first, hashlib.blake2b(b"\n".join(lines[first:end]), digest_size=16).digest(), around))
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "id", "first", "lines", "digest", "around"])
 
 
-def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, removed``: per document (see :func:`stable_key`) its windows that repeat an earlier one of
-    the corpus, as an array of (first line, number of lines).
+def repeated_runs(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, removed``: per document (see :func:`stable_key`) its chunks and windows that repeat an earlier
+    one of the corpus, as an array of (first line, number of lines).
 
     Digests find candidates; their bytes are then read again and grouped whole, so only equal bytes
     count as a repeat.  The first occurrence is that of the smallest id (nulls last), then key, then
     place; what overlaps it in its own text is no repeat.  Groups are reduced to a count and a first
-    occurrence on the map side, so a window shared by a third of all documents is no hot spot, and the
+    occurrence on the map side, so a run shared by a third of all documents is no hot spot, and the
     joins that tell occurrences of their group are of two plain tables, whose skewed keys adaptive
     execution splits.  Joins with the texts are merge joins at every size, as the other side grows with
     the corpus.
@@ -89,17 +111,23 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     rows = docs.select(
         stable_key(F.col(id_column), F.col(text)).alias("key"), F.col(id_column).cast("long").alias("id"), F.col(text).alias("text")
     )
-    found = cut_lineage(rows.mapInArrow(_windows, "key binary, id long, first int, lines int, digest binary"))
-    # Rows alike in id and text give the same windows again: they count once.
-    span = F.struct("key", "first")
-    often = found.groupBy("digest").agg(F.min(span).alias("low"), F.max(span).alias("high")).filter("low != high")
-    often = cut_lineage(often.select("digest"))
-    candidates = found.join(often, "digest").groupBy("key", "id").agg(F.collect_set(F.struct("first", "lines")).alias("parts"))
+    found = cut_lineage(rows.mapInArrow(_runs, "key binary, id long, first int, lines int, digest binary, around int"))
+    # Rows alike in id and text give the same runs again: they count once.
+    spot = F.struct(F.col("id").isNull().alias("n"), "id", "key", "first")
+    often = found.groupBy("digest").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).filter("low != high")
+    often = cut_lineage(often.select("digest", "low"))
+    repeated = found.join(often, "digest")
+    # Windows inside a later occurrence of a chunk have their first occurrence elsewhere, and go with the chunk.
+    apart = (F.col("key") != F.col("low.key")) | (F.col("first") - F.col("low.first") >= F.col("lines"))
+    gone = repeated.filter(F.col("around").isNull() & apart)
+    gone = gone.select("key", F.col("first").alias("around")).distinct()
+    inside = cut_lineage(repeated.filter("around >= 0").select("key", "id", "first", "lines", "around")).join(gone, ["key", "around"], "left_anti")
+    others = repeated.filter("around is null or around < 0").select("key", "id", "first", "lines")
+    candidates = others.unionByName(inside.drop("around")).groupBy("key", "id").agg(F.collect_set(F.struct("first", "lines")).alias("parts"))
     candidates = cut_lineage(candidates)
     split = rows.select("key", "text").join(candidates.hint("merge"), "key").select("key", "id", F.split("text", "\n").alias("all"), F.explode("parts").alias("part"))
     body = F.array_join(F.slice("all", F.col("part.first") + 1, F.col("part.lines")), "\n")
     placed = cut_lineage(split.select("key", "id", "part.*", body.alias("body")))
-    spot = F.struct(F.col("id").isNull().alias("n"), "id", "key", "first")
     groups = cut_lineage(placed.groupBy("body").agg(F.min(spot).alias("low"), F.max(spot).alias("high")).filter("low != high").select("body", "low"))
     later = placed.join(groups, "body").filter((F.col("key") != F.col("low.key")) | (F.col("first") - F.col("low.first") >= F.col("lines")))
     return cut_lineage(later.groupBy("key").agg(F.collect_set(F.struct("first", "lines")).alias("removed")))
@@ -113,7 +141,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     ones empty; a text cut whole becomes empty; long texts are read whole; rows alike in id and text stand for one document and are cut alike; documents with a null id
     come last in order; an empty table stays empty.  Further columns of any name are kept.
     """
-    removed = repeated_windows(docs, id_column, text).select(F.col("key").alias(f"{OWN}key"), F.col("removed").alias(f"{OWN}removed"))
+    removed = repeated_runs(docs, id_column, text).select(F.col("key").alias(f"{OWN}key"), F.col("removed").alias(f"{OWN}removed"))
     marked = docs.withColumn(f"{OWN}key", stable_key(F.col(id_column), F.col(text))).join(removed.hint("merge"), f"{OWN}key", "left")
 
     gone = F.flatten(F.transform(f"{OWN}removed", lambda r: F.sequence(r["first"], r["first"] + r["lines"] - 1)))

@@ -5,7 +5,7 @@ import duckdb
 import corpus_pipeline
 from parcelweave.llm import q_decontaminate, q_mixing, q_quality
 from parcelweave.session import cut_lineage
-from tests.llm.test_lines import plain, whole_runs
+from tests.llm.test_lines import whole_runs
 from tests.llm.test_simhash import brute_components, plain_fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -19,7 +19,7 @@ def plain_run(folder):
     kept = {r[0] for r in con.execute(f"select doc_id from ({q_quality.SQL}) where kept").fetchall()}
     docs = [r for r in con.execute("select doc_id, text, source from documents order by doc_id").fetchall() if r[0] in kept]
     out = [docs]
-    cut = plain([(d, t) for d, t, _ in docs])
+    cut = whole_runs([(d, t) for d, t, _ in docs])
     docs = [(d, cut[d], s) for d, _, s in docs]
     out.append(docs)
     tops = brute_components([(d, plain_fingerprint(t)) for d, t, _ in docs])
@@ -79,8 +79,3 @@ def test_rows_of_one_id_or_none_are_told_apart(spark):
     assert {tuple(r) for r in first.collect()} - {(None, dirty), (7, dirty + " x")} == apart and first.count() in (6, 7)
     clean = corpus_pipeline.decontamination(spark, docs, SF)
     assert sorted(map(str, clean.collect())) == sorted(str(r) for r in docs.collect() if r.text is None or dirty not in r.text)
-
-
-def test_stages_equal_plain_version_of_whole_runs(spark, monkeypatch):
-    monkeypatch.setitem(globals(), "plain", whole_runs)
-    test_stages_equal_plain_version(spark)
