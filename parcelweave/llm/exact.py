@@ -65,7 +65,8 @@ def directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int
             break
         depth = deepest
     buckets = cells.groupBy(_leading(F.col("cell"), F.col("bits")).alias("bucket"), "bits").agg(F.sum("rows").alias("rows"))
-    buckets = buckets.withColumn("pages", F.ceil(F.col("rows") / room).cast("int"))
+    # Some copies among its keys are no reason to split a bucket up.
+    buckets = buckets.withColumn("pages", F.when(F.col("rows") > 4 * room, F.ceil(F.col("rows") / room)).otherwise(1).cast("int"))
     wide = F.lit(depth) - F.col("bits")
     low = F.call_function("shiftleft", F.col("bucket"), wide)
     slots = buckets.select(F.explode(F.sequence(low, low + F.call_function("shiftleft", F.lit(1), wide) - 1)).alias("slot"), "bucket", "bits", "pages")
