@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelweave.functions import geometry as G
+from parcelweave.operators.outlines import dissolve
 from parcelweave.session import cut_lineage, spread
 
 
@@ -152,3 +153,22 @@ def footprints_at_points(
 def discover_events(points: DataFrame, footprints: DataFrame, key: str, **cells) -> DataFrame:
     """Latest event per point from footprints that carry event columns."""
     return latest_event_per_point(footprints_at_points(points, footprints, key, **cells), key)
+
+
+def event_boundary(footprints: DataFrame, *, since: str | None = None, until: str | None = None) -> DataFrame:
+    """(event_id, footprints, first_capture, last_capture, geometry): the area that an event's surveys cover
+    together, as one outline without overlaps.
+
+    ``since`` and ``until`` (inclusive dates) give the boundary as of a point in time, as it grows while
+    captures land.  Rows without an event or an outline are left out.
+    """
+    day = F.to_date("captureDate")
+    rows = footprints.where(F.col("event_id").isNotNull() & (F.col("event_id") != "") & F.col("geometry").isNotNull())
+    if since is not None:
+        rows = rows.where(day >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.where(day <= F.lit(until).cast("date"))
+    rows = cut_lineage(rows.select("event_id", day.alias("day"), "geometry"))
+    counts = rows.groupBy("event_id").agg(F.count(F.lit(1)).alias("footprints"), F.min("day").alias("first_capture"), F.max("day").alias("last_capture"))
+    # The same tile is flown again and again: its outline is needed once.
+    return counts.join(dissolve(rows.select("event_id", "geometry").distinct(), ["event_id"]), "event_id")

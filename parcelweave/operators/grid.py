@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from parcelweave.config import GRID_SIZE_DEGREES, MAX_AOI_SQM_BEFORE_GRIDDING, SIZE_ERROR_CODES
 from parcelweave.functions import geometry as G
-from parcelweave.session import spread
+from parcelweave.operators.outlines import dissolve
+from parcelweave.session import cut_lineage, spread
 
 SUMMED = ("area_sqm", "area_sqft", "clipped_area_sqm", "clipped_area_sqft")
 METADATA_IDENTITY = (
@@ -94,7 +95,8 @@ def combine_grid_features(
 
     Areas are summed over the rows as returned, so an outline returned whole by two cells counts
     twice; ``dedupe_before_sum`` drops repeated outlines first.  Every other column comes from the
-    largest part, and the outlines of distinct parts are collected into one geometry.
+    largest part.  The geometry is the union of the parts, without overlaps and without the borders of
+    the cells; where all parts have one outline, it stays as it is.
     """
     rows = features
     if dedupe_before_sum and "geometry" in features.columns:
@@ -109,13 +111,19 @@ def combine_grid_features(
     aggs = [F.sum(c).alias(c) for c in sums]
     if others:
         aggs.append(F.min_by(F.struct(*others), F.struct(*order)).alias("_top"))
-    if "geometry" in features.columns:
-        aggs.append(F.flatten(F.array_sort(F.collect_set("geometry"))).alias("geometry"))
+    shaped = "geometry" in features.columns
+    if shaped:
+        aggs += [F.min("geometry").alias("_low"), F.max("geometry").alias("_high")]
     out = rows.groupBy(*keys).agg(*aggs)
     zeros = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in sums}
     picked = [F.col(f"_top.{c}").alias(c) for c in others]
-    shape = ["geometry"] if "geometry" in features.columns else []
-    return out.withColumns(zeros).select(*keys, *picked, *sums, *shape)
+    if not shaped:
+        return out.withColumns(zeros).select(*keys, *picked, *sums)
+    out = cut_lineage(out.withColumns(zeros).select(*keys, *picked, *sums, "_low", "_high"))
+    several = out.where(F.col("_low") != F.col("_high")).select(*keys)
+    united = dissolve(rows.select(*keys, "geometry").join(several, list(keys), "left_semi"), list(keys))
+    joined = out.join(united.withColumnRenamed("geometry", "_union"), list(keys), "left")
+    return joined.withColumn("geometry", F.coalesce("_union", "_low")).drop("_union", "_low", "_high")
 
 
 def conflicting_features(
