@@ -429,12 +429,3 @@ def clip_to_geometry(geom: pa.Array, mask: pa.Array) -> pa.Array:
             pieces = [piece for rings in mask_parts for piece in kernel.convex_pieces(rings)]
             rows[i] = [p for piece in pieces for p in kernel.clip_convex(parts, piece)]
     return kernel.parts_to_rows(rows)
-
-
-@_once
-@arrow_udf(T.BooleanType())
-def has_simple_rings(geom: pa.Array) -> pa.Array:
-    """False when a ring is too short or crosses itself."""
-    return pa.array([bool(p) and kernel.simple_rings(p) for p in kernel.rows_to_parts(geom)])
-
-

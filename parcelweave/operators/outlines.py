@@ -29,16 +29,17 @@ def ring_edges(shapes: DataFrame, keys: list[str], digits: int = DIGITS) -> Data
 
     ``shape`` numbers the input rows and ``eid`` the edges; ``n`` is the number of edges of the ring and
     ``pos`` the place in it as given.  Outlines run counter-clockwise, holes clockwise, so the inside is on
-    the left; edges without length are left out.  The table is written once, as its numbers would change if
+    the left; open rings are closed, and edges without length are left out.  The table is written once, as its numbers would change if
     it were computed again.
     """
     numbered = shapes.select(*keys, "geometry").withColumn("shape", F.monotonically_increasing_id())
     parts = numbered.select(*keys, "shape", F.posexplode("geometry").alias("part", "_rings"))
     rings = parts.select(*keys, "shape", "part", F.posexplode("_rings").alias("ring", "_points"))
+    closed = F.when(F.get("_points", F.lit(0)) == F.element_at("_points", -1), F.col("_points")).otherwise(F.concat("_points", F.slice("_points", 1, 1)))
     snapped = F.transform("_points", lambda p: F.struct(half_even(p["x"], digits).alias("x"), half_even(p["y"], digits).alias("y")))
     # Repeated points would be edges without length.
     kept = F.filter(F.col("_points"), lambda p, i: (i == 0) | (p != F.get(F.col("_points"), i - 1)))
-    rings = rings.withColumn("_points", snapped).withColumn("_points", kept)
+    rings = rings.where(F.size("_points") > 0).withColumn("_points", closed).withColumn("_points", snapped).withColumn("_points", kept)
     rings = rings.withColumn("_turn", G._ring_area(F.col("_points"))).where(F.size("_points") > 1)
     steps = F.transform(
         F.sequence(F.lit(0), F.size("_points") - 2),
@@ -133,8 +134,8 @@ def cross_properly(l: Column, r: Column) -> Column:  # noqa: E741
     return (one < 0) & (other < 0)
 
 
-def split_edges(edges: DataFrame, mesh: DataFrame, keys: list[str], digits: int = DIGITS) -> DataFrame:
-    """All edges cut where another edge of the group meets them: ``keys, shape, lx, ly, hx, hy, sign``.
+def split_edges(edges: DataFrame, mesh: DataFrame, keys: list[str], digits: int = DIGITS, carry: tuple[str, ...] = ("shape",)) -> DataFrame:
+    """All edges cut where another edge of the group meets them: ``keys, carry, lx, ly, hx, hy, sign``.
 
     The ends are in order of x and y; ``sign`` is 1 where the edge runs from the lower to the higher one.
     """
@@ -156,7 +157,7 @@ def split_edges(edges: DataFrame, mesh: DataFrame, keys: list[str], digits: int
     both = F.transform(F.array("l", "r"), lambda e: F.when(F.col("p").isNotNull(), F.struct(e.alias("eid"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))))
     cuts = found.select(F.explode(F.filter(F.concat("ends", both), lambda c: c.isNotNull())).alias("c")).select("c.*")
     cuts = cuts.groupBy("eid").agg(F.collect_set(F.struct("x", "y")).alias("_cuts"))
-    joined = edges.select(*keys, "shape", "eid", "ax", "ay", "bx", "by").join(cuts, "eid", "left")
+    joined = edges.select(*keys, *carry, "eid", "ax", "ay", "bx", "by").join(cuts, "eid", "left")
     dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     a, b = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"))
     inner = F.transform(
@@ -165,11 +166,11 @@ def split_edges(edges: DataFrame, mesh: DataFrame, keys: list[str], digits: int
     )
     points = F.concat(F.array(a), F.coalesce(inner, F.array().cast("array<struct<x:double,y:double>>")), F.array(b))
     split = joined.withColumn("_points", points).select(
-        *keys, "shape", F.explode(F.transform(F.sequence(F.lit(0), F.size("_points") - 2), lambda i: F.struct(F.get(F.col("_points"), i).alias("p"), F.get(F.col("_points"), i + 1).alias("q")))).alias("e")
+        *keys, *carry, F.explode(F.transform(F.sequence(F.lit(0), F.size("_points") - 2), lambda i: F.struct(F.get(F.col("_points"), i).alias("p"), F.get(F.col("_points"), i + 1).alias("q")))).alias("e")
     ).where(F.col("e.p") != F.col("e.q"))
     low, high = F.least("e.p", "e.q"), F.greatest("e.p", "e.q")
     return split.select(
-        *keys, "shape", low["x"].alias("lx"), low["y"].alias("ly"), high["x"].alias("hx"), high["y"].alias("hy"),
+        *keys, *carry, low["x"].alias("lx"), low["y"].alias("ly"), high["x"].alias("hx"), high["y"].alias("hy"),
         F.when(F.col("e.p") == low, 1).otherwise(-1).alias("sign"),
     )
 
@@ -363,3 +364,69 @@ def boundary_length(geom: Column) -> Column:
         return G._edges(points, F.lit(0.0), lambda acc, p, q: acc + F.hypot(q["x"] - p["x"], q["y"] - p["y"]))
 
     return F.aggregate(F.flatten(geom), F.lit(0.0), lambda acc, r: acc + ring(r))
+
+
+# ------------------------------------------------------------------ validity
+_HOLE = "hole is not inside its outline, or in a hole"
+#: What may be wrong; of several the first is told.
+REASONS = ("ring without area", "ring meets itself", "rings cross", "rings share a line", "inside is not connected", _HOLE, "parts overlap")
+
+
+def invalid_reasons(shapes: DataFrame, key: str, digits: int = DIGITS) -> DataFrame:
+    """``key, reason``: the rows whose ``geometry`` is no valid area, each with one reason.
+
+    Rings may not be short, without area, or meet themselves; different rings may touch in single points
+    only; holes lie inside their outline and outside each other; parts do not overlap; two rings of a part
+    that touch twice cut its inside in two.  (Rings that do so only as a closed chain of three or more are
+    not looked for.)  Null and empty geometries are not told about; ``key`` is unique.
+    """
+    tol = 0.5 * 10.0**-digits
+    given = shapes.where(F.size("geometry") > 0).select(key, "geometry")
+    odd_ring = lambda r: (F.size(r) < 3) | (G._ring_area(r) == 0)
+    hollow = F.exists("geometry", lambda part: part.isNull() | (F.size(part) == 0) | F.exists(part, odd_ring))
+    flat = given.where(F.coalesce(hollow, F.lit(True))).select(key, F.lit("ring without area").alias("reason"))
+    edges = ring_edges(given, [key], digits)
+    mesh = mesh_of(edges, [key])
+    l, r = F.col("l"), F.col("r")  # noqa: E741
+    here = lambda e, x, y: on_edge(e, x, y, tol) | ((e["ax"] == x) & (e["ay"] == y)) | ((e["bx"] == x) & (e["by"] == y))
+    points = [F.when(here(e, o[f"{p}x"], o[f"{p}y"]), F.struct(o[f"{p}x"].alias("x"), o[f"{p}y"].alias("y"))) for e, o in ((l, r), (r, l)) for p in "ab"]
+    one_ring = (l["part"] == r["part"]) & (l["ring"] == r["ring"])
+    steps = F.abs(l["pos"] - r["pos"])
+    neighbours = one_ring & ((steps == 1) | (steps == l["n"] - 1))
+    met = meeting_pairs(edges, mesh, [key], tol).select(
+        key, one_ring.alias("one_ring"), neighbours.alias("neighbours"), cross_properly(l, r).alias("crosses"),
+        F.array_distinct(F.filter(F.array(*points), lambda p: p.isNotNull())).alias("points"),
+        F.when(l["part"] == r["part"], F.struct(l["part"].alias("part"), F.least(l["ring"], r["ring"]).alias("a"), F.greatest(l["ring"], r["ring"]).alias("b"))).alias("rings"),
+    ).where(F.col("crosses") | (F.size("points") > 0))
+    met = cut_lineage(met)
+    n = F.size("points")
+    told = F.when(F.col("one_ring") & (F.col("crosses") | (n > 1) | ~F.col("neighbours")), "ring meets itself").when(
+        ~F.col("one_ring") & F.col("crosses"), "rings cross"
+    ).when(~F.col("one_ring") & (n > 1), "rings share a line")
+    pairs = met.select(key, told.alias("reason")).where(F.col("reason").isNotNull())
+    touched = met.where(~F.col("one_ring") & F.col("rings").isNotNull()).select(key, "rings", F.explode("points").alias("p")).distinct()
+    cut_off = touched.groupBy(key, "rings").count().where("count > 1").select(key, F.lit("inside is not connected").alias("reason"))
+    reasons = flat.unionByName(pairs).unionByName(cut_off).unionByName(_misplaced_rings(edges, mesh, key, digits))
+    rank = F.array_position(F.array(*[F.lit(x) for x in REASONS]), F.col("reason"))
+    return reasons.groupBy(key).agg(F.min_by("reason", rank).alias("reason"))
+
+
+def _misplaced_rings(edges: DataFrame, mesh: DataFrame, key: str, digits: int) -> DataFrame:
+    """Rings of which a piece lies where it may not: along a hole its part's other rings must be around once
+    in all (the outline, and no hole), along an outline not at all, and other parts nowhere."""
+    several = edges.groupBy(key).agg(F.countDistinct("part", "ring").alias("_k")).where("_k > 1").select(key)
+    some = cut_lineage(edges.join(several, key, "left_semi"))
+    split = cut_lineage(split_edges(some, mesh, [key], digits, carry=("part", "ring")))
+    tops = some.groupBy(key, "part", "ring").agg(F.max(F.greatest("ay", "by")).alias("top"))
+    middle = F.struct("part", "ring", *_SEGMENT, ((F.col("lx") + F.col("hx")) / 2).alias("_mx"), ((F.col("ly") + F.col("hy")) / 2).alias("_my"))
+    probes = split.join(mesh, key).select(key, "_x0", "_y0", "_s", middle.alias("m"))
+    targets = split.join(tops, [key, "part", "ring"]).join(mesh, key)
+    targets = targets.select(key, "_x0", "_y0", "_s", F.struct("part", "ring", *_SEGMENT, "sign", "top").alias("t"))
+    other = (F.col("m.part") != F.col("t.part")) | (F.col("m.ring") != F.col("t.ring"))
+    own = F.col("m.part") == F.col("t.part")
+    below = covered_below(probes, targets, [key], other).select(key, "m", F.when(own, F.col("t.sign")).otherwise(0).alias("own"), F.when(own, 0).otherwise(F.col("t.sign")).alias("others"))
+    none = probes.select(key, "m", F.lit(0).alias("own"), F.lit(0).alias("others"))
+    sums = below.unionByName(none).groupBy(key, "m").agg(F.sum("own").alias("own"), F.sum("others").alias("others"))
+    hole = F.col("m.ring") > 0
+    told = F.when(F.col("others") != 0, "parts overlap").when(F.col("own") != F.when(hole, 1).otherwise(0), _HOLE)
+    return sums.select(key, told.alias("reason")).where(F.col("reason").isNotNull())

@@ -265,24 +265,3 @@ def geometry_round_trip(t):
     g = f.select("aoi_id", "feature_id", G.from_wkb(G.to_wkb(G.from_wkt(G.to_wkt(F.col("geometry"))))).alias("g"))
     b = G.bbox(F.col("g"))
     return g.select("aoi_id", "feature_id", G.area(F.col("g")).alias("area"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))
-
-
-@query("valid_geometry", ctes("features") + """
-select aoi_id, feature_id from features where l_partkey % 4 in (2, 3)""")
-def valid_geometry(t):
-    """Missing, zero-area and self-crossing outlines are left out."""
-    from parcelweave.sources.aoi import valid_geometry as keep
-
-    x1, y1, x2, y2 = (F.col(c).cast("string") for c in ("x1", "y1", "x2", "y2"))
-
-    def ring(*pts):
-        return F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[F.concat(x, F.lit(" "), y) for x, y in pts]), F.lit("))"))
-
-    good = ring((x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1))
-    bow = ring((x1, y1), (x2, y2), (x2, y1), (x1, y2), (x1, y1))
-    text = F.when(F.col("l_partkey") % 4 == 0, F.when(F.col("l_suppkey") % 2 == 0, F.lit("POLYGON EMPTY")).otherwise(F.lit("POINT (1 2)"))).when(
-        F.col("l_partkey") % 4 == 1, bow).otherwise(good)
-    df = t.features().withColumn("geometry", G.from_wkt(text))
-    return keep(df).select("aoi_id", "feature_id")
-
-

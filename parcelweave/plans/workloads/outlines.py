@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from parcelweave.functions import geometry as G
 from parcelweave.functions.columns import half_even
-from parcelweave.operators import coverage, grid
+from parcelweave.operators import coverage, grid, outlines
 from parcelweave.operators.outlines import boundary_length
 from parcelweave.plans.registry import query
-from parcelweave.plans.samples import half_even_sql as he
-from parcelweave.sources import payloads
+from parcelweave.plans.samples import ctes, half_even_sql as he
+from parcelweave.session import cut_lineage
+from parcelweave.sources import aoi, payloads
 
 
 def _coordinates(kind: Column, x: Column, y: Column, s: Column) -> Column:
@@ -96,3 +97,60 @@ def event_boundary(t):
         "event_id", "footprints", F.col("first_capture").cast("string").alias("first_capture"), F.col("last_capture").cast("string").alias("last_capture"),
         half_even(G.area(F.col("geometry")), 6).alias("area"), half_even(boundary_length(F.col("geometry")), 6).alias("boundary_length"),
     )
+
+
+#: (parts as rings of corners in shares of the feature's box, what is wrong with it).
+_B = lambda a, b, c, d: ((a, b), (c, b), (c, d), (a, d), (a, b))
+_HOLE = outlines.REASONS[5]
+_OUTLINES = [
+    ([[_B(0, 0, 1, 1)]], None),
+    ([[((0, 0), (1, 1), (1, 0), (0, 0.5), (0, 0))]], "ring meets itself"),
+    ([[_B(0, 0, 0.5, 0.5)], [_B(0.25, 0.25, 1, 1)]], "rings cross"),
+    ([[_B(0, 0, 0.5, 0.5), _B(0.625, 0.625, 0.875, 0.875)]], _HOLE),
+    ([[((0, 0), (1, 0), (0.5, 0.5), (1, 1), (0, 1), (0.5, 0.5), (0, 0))]], "ring meets itself"),
+    ([[_B(0, 0, 0.75, 0.75), _B(0.5, 0.25, 1, 0.5)]], "rings cross"),
+    ([[_B(0, 0, 1, 1), ((0, 0.5), (0.5, 0.25), (0.5, 0.75), (0, 0.5))]], None),
+    ([[_B(0, 0, 0.5, 0.5)], [_B(0.5, 0.5, 1, 1)]], None),
+    ([[_B(0, 0, 1, 1), _B(0.125, 0.125, 0.875, 0.875), _B(0.25, 0.25, 0.5, 0.5)]], _HOLE),
+    ([[_B(0, 0, 1, 1), _B(0.125, 0.125, 0.875, 0.875)], [_B(0.25, 0.25, 0.5, 0.5)]], None),
+    ([[_B(0, 0, 0.5, 1)], [_B(0.5, 0, 1, 1)]], "rings share a line"),
+    ([[_B(0, 0, 1, 1)], [_B(0.25, 0.25, 0.5, 0.5)]], "parts overlap"),
+    ([[_B(0, 0, 1, 1), ((0, 0.5), (0.5, 0.25), (1, 0.5), (0.5, 0.75), (0, 0.5))]], "inside is not connected"),
+    ([[((0, 0), (1, 0), (1, 1), (1, 0), (0, 1), (0, 0))]], "ring meets itself"),
+]
+
+
+def _odd_outlines(t):
+    """Features whose outline is one of the cases, in turn; each fifteenth is missing."""
+    x1, y1, w, h = F.col("x1"), F.col("y1"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+
+    def number(c):
+        return c.cast("string")
+
+    def ring(points):
+        return F.concat(F.lit("("), F.concat_ws(",", *[F.concat(number(x1 + w * a), F.lit(" "), number(y1 + h * b)) for a, b in points]), F.lit(")"))
+
+    text = F.when(F.col("l_suppkey") % 2 == 0, "POLYGON EMPTY").otherwise("POINT (1 2)")
+    for k, (parts, _) in enumerate(_OUTLINES):
+        body = F.concat_ws(",", *[F.concat(F.lit("("), F.concat_ws(",", *[ring(r) for r in p]), F.lit(")")) for p in parts])
+        text = F.when(F.col("l_partkey") % 15 == k, F.concat(F.lit("MULTIPOLYGON ("), body, F.lit(")"))).otherwise(text)
+    return t.features().withColumn("geometry", G.from_wkt(text))
+
+
+_GOOD = ", ".join(str(k) for k, (_, reason) in enumerate(_OUTLINES) if reason is None)
+
+
+@query("valid_geometry", ctes("features") + f"""
+select aoi_id, feature_id from features where l_partkey % 15 in ({_GOOD})""")
+def valid_geometry(t):
+    """Missing outlines, and those that are no valid area, are left out."""
+    return aoi.valid_geometry(_odd_outlines(t)).select("aoi_id", "feature_id")
+
+
+@query("invalid_outlines", ctes("features") + f"""
+select aoi_id, feature_id, l_linenumber, case l_partkey % 15 {' '.join(f"when {k} then '{reason}'" for k, (_, reason) in enumerate(_OUTLINES) if reason)} end as reason
+from features where l_partkey % 15 not in (14, {_GOOD})""")
+def invalid_outlines(t):
+    """What is wrong with each outline that is no valid area."""
+    rows = cut_lineage(_odd_outlines(t).withColumn("row", F.monotonically_increasing_id()))
+    return rows.join(outlines.invalid_reasons(rows, "row"), "row").select("aoi_id", "feature_id", "l_linenumber", "reason")
