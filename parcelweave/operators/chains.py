@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelweave.config import BUILDING, BUILDING_LIFECYCLE, DEPRECATED_CLASSES, INCLUDE_COLUMNS, ROOF
 from parcelweave.operators.includes import parse_includes
-from parcelweave.session import cut_lineage
 
 KEY = ["aoi_id", "feature_id"]
 
@@ -24,51 +21,38 @@ def forget_roof_parents(features: DataFrame) -> DataFrame:
     return features.withColumn("parent_id", F.when(F.col("class_id") == ROOF, None).otherwise(F.col("parent_id")))
 
 
-def ancestors_of_class(features: DataFrame, target_class: str) -> DataFrame:
-    """(aoi_id, feature_id, ancestor_id): nearest ancestor of a class, NULL if there is none.
+#: Each round follows the pointers that are still open by one parent; ``seen`` ends walks in a circle.
+_WALK = """
+with recursive walk(aoi_id, start, ptr, seen) max recursion level 1000000 as (
+  select s.aoi_id, s.start, n.parent_id, array(s.start)
+  from {starts} s join {links} n on n.aoi_id = s.aoi_id and n.feature_id = s.start
+  union all
+  select w.aoi_id, w.start, n.parent_id, array_append(w.seen, w.ptr)
+  from walk w join {links} n on n.aoi_id = w.aoi_id and n.feature_id = w.ptr
+  where n.class_id <> :target and not array_contains(w.seen, w.ptr))
+select w.aoi_id, w.start, w.ptr as ancestor_id, size(w.seen) as hops
+from walk w join {tops} t on t.aoi_id = w.aoi_id and t.feature_id = w.ptr
+"""
+
+
+def walk_up(features: DataFrame, starts: DataFrame, target_class: str) -> DataFrame:
+    """(aoi_id, start, ancestor_id): the nearest ancestor of a class for each ``starts`` (aoi_id, start).
 
-    Pointer doubling: after round k each open pointer is 2^k parents up, so chains of any length
-    need only a logarithmic number of joins.  A usual chain (one hop) ends after the first.  Pointers
-    still open once 2^k exceeds the number of features run in a cycle and resolve to NULL.
+    A recursive query, so nothing runs before the caller's action, and its work is that of the starts that
+    are still on their way: one hop, as is usual, is one join.  Starts without such an ancestor have no row.
     """
-    nodes = (
-        features.where(F.col("feature_id").isNotNull())
-        .select("aoi_id", "feature_id", "class_id", "parent_id")
-        .dropDuplicates(KEY)
-    )
-    up = nodes.select(
-        F.col("aoi_id"), F.col("feature_id").alias("ptr"), F.col("class_id").alias("ptr_class"),
-        F.col("parent_id").alias("ptr_parent"),
-    )
-    jump = (
-        nodes.withColumnRenamed("parent_id", "ptr")
-        .join(up, ["aoi_id", "ptr"], "left")
-        .select(
-            "aoi_id", "feature_id",
-            F.when(F.col("ptr_class").isNotNull(), F.col("ptr")).alias("ptr"),
-            F.coalesce(F.col("ptr_class") == target_class, F.lit(False)).alias("hit"),
-        )
-    )
-    jump = cut_lineage(jump)
-    total = None
-    rounds = 0
-    while True:
-        pending = jump.where(F.col("ptr").isNotNull() & ~F.col("hit"))
-        if pending.isEmpty():
-            break
-        if total is None:
-            total = jump.count()
-        if rounds > math.ceil(math.log2(total)) + 1:
-            jump = jump.withColumn("ptr", F.when(F.col("hit"), F.col("ptr")))
-            break
-        rounds += 1
-        nxt = jump.select("aoi_id", F.col("feature_id").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("hit").alias("hit2"))
-        moved = pending.join(nxt, ["aoi_id", "ptr"], "left").select(
-            "aoi_id", "feature_id", F.col("ptr2").alias("ptr"), F.coalesce("hit2", F.lit(False)).alias("hit")
-        )
-        settled = jump.where(F.col("ptr").isNull() | F.col("hit"))
-        jump = cut_lineage(settled.unionByName(moved), replaces=jump)
-    return jump.select("aoi_id", "feature_id", F.col("ptr").alias("ancestor_id"))
+    links = features.where(F.col("feature_id").isNotNull() & F.col("parent_id").isNotNull()).select("aoi_id", "feature_id", "class_id", "parent_id")
+    tops = features.where(F.col("class_id") == target_class).select("aoi_id", "feature_id").distinct()
+    found = starts.sparkSession.sql(_WALK, args={"target": target_class}, links=links, tops=tops, starts=starts.select("aoi_id", "start").distinct())
+    return found.groupBy("aoi_id", "start").agg(F.min_by("ancestor_id", F.struct("hops", "ancestor_id")).alias("ancestor_id"))
+
+
+def ancestors_of_class(features: DataFrame, target_class: str) -> DataFrame:
+    """(aoi_id, feature_id, ancestor_id): nearest ancestor of a class for every feature, NULL if there is none
+    or its parents run in a circle."""
+    keys = features.where(F.col("feature_id").isNotNull()).select("aoi_id", "feature_id").distinct()
+    starts = features.where(F.col("parent_id").isNotNull() & F.col("feature_id").isNotNull()).select("aoi_id", F.col("feature_id").alias("start"))
+    return keys.join(walk_up(features, starts, target_class).withColumnRenamed("start", "feature_id"), KEY, "left")
 
 
 def any_include(columns=INCLUDE_COLUMNS) -> Column:
@@ -103,10 +87,12 @@ def resolve_scores(features: DataFrame, roof_links: DataFrame) -> DataFrame:
         "aoi_id", F.col("feature_id").alias("lifecycle_id"), F.col("includes").alias("lifecycle_includes"),
         F.col("any").alias("lifecycle_any"),
     )
-    chain = ancestors_of_class(kept, BUILDING_LIFECYCLE).select(
-        "aoi_id", F.col("feature_id").alias("parent_building_id"), F.col("ancestor_id").alias("lifecycle_id")
-    )
     links = roof_links.select("aoi_id", "feature_id", "parent_building_id")
+    # Only buildings that a roof names are asked about.
+    named = links.where(F.col("parent_building_id").isNotNull()).select("aoi_id", F.col("parent_building_id").alias("start"))
+    chain = walk_up(kept, named, BUILDING_LIFECYCLE).select(
+        "aoi_id", F.col("start").alias("parent_building_id"), F.col("ancestor_id").alias("lifecycle_id")
+    )
     joined = (
         roofs.join(links, KEY, "left")
         .join(buildings, ["aoi_id", "parent_building_id"], "left")

@@ -44,6 +44,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     # The JIT leaves methods above 8000 bytes of bytecode interpreted; wide geometry stages do
     # better without whole-stage fusion than inside one such method.
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    # Walks along parents visit as many rows as there are features.
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     return spark
 
 
