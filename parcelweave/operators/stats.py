@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from parcelweave.config import LATENCY_EDGES
 from parcelweave.functions.columns import strip_url_query
-from parcelweave.sources.ids import dense_ids
 
 PERCENTILES = (50, 90, 95, 99)
 BRACKET = 0.0005
@@ -122,28 +122,53 @@ def histogram_percentile(hist: Column, percentile: float, edges: Sequence[float]
     return F.when(total == 0, F.lit(0.0)).otherwise(F.aggregate(bins, start, step)["answer"])
 
 
+#: u < POISSON[k] of a 16-bit number u means at most k events where one is expected.
+POISSON = [round(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(9)]
+
+
+def _replicate_sums(n: int, seed: int):
+    """Function that adds up a task's histograms under ``n`` sets of Poisson weights, one row per set."""
+
+    def run(batches: Iterator) -> Iterator:
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for batch in batches:
+            keys, hists = batch.column(0).to_pylist(), batch.column(1)
+            table = hists.flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1).astype(np.float64)
+            for start in range(0, len(keys), 1024):
+                drawn = [b"".join(hashlib.md5(f"{seed}|{i}|{k}".encode()).digest() for i in range(-(-n // 8))) for k in keys[start : start + 1024]]
+                even = np.frombuffer(b"".join(drawn), dtype=">u2").reshape(len(drawn), -1)[:, :n]
+                part = np.searchsorted(POISSON, even, side="right").astype(np.float64).T @ table[start : start + 1024]
+                total = part if total is None else total + part
+        if total is not None:
+            sums = pa.array(list(np.rint(total).astype(np.int64)), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), sums], ["_rep", "histogram"])
+
+    return run
+
+
 def global_stats(
     groups: DataFrame, group_key: str, *, n_bootstrap: int = 1000, seed: int = 42, percentiles: Sequence[int] = PERCENTILES
 ) -> DataFrame:
     """One row: mean, histogram percentiles and bootstrap 95 % intervals over resampled groups.
 
-    Groups without samples are left out.  Draws come from a hash of (seed, replicate, slot), so a
-    recomputed task repeats them exactly.
+    Groups without samples are left out.  A replicate weighs each group by a Poisson number of mean 1, which
+    is how often it would be drawn; it comes from the MD5 digest of (seed, replicate, group), so a recomputed
+    task repeats it, and each task hands on one sum per replicate however many groups it has.  Replicates that
+    draw no group at all do not count.
     """
-    used = dense_ids(groups.where(F.col("count") > 0).select(group_key, "count", "mean", "histogram"), "_idx")
+    used = groups.where(F.col("count") > 0).select(F.col(group_key).cast("string").alias("_key"), "count", "mean", "histogram")
     bins = len(LATENCY_EDGES)
-    sums = F.array(*[F.coalesce(F.sum(F.col("histogram")[i]), F.lit(0)) for i in range(bins)])
     overall = used.agg(
-        (F.sum(F.col("mean") * F.col("count")) / F.sum("count")).alias("mean"),
-        F.sum("count").alias("count"), sums.alias("histogram"),
-    )
-    size = used.agg(F.count(F.lit(1)).alias("n")).scalar()
-    slots = used.select("_idx", F.explode(F.sequence(F.lit(1), F.lit(n_bootstrap))).alias("_rep"))
-    draws = slots.select("_rep", F.pmod(F.xxhash64(F.lit(seed), "_rep", "_idx"), size).alias("_idx"))
-    picked = draws.groupBy("_rep", "_idx").agg(F.count(F.lit(1)).alias("_times")).join(used, "_idx")
-    resampled = picked.groupBy("_rep").agg(
-        F.array(*[F.coalesce(F.sum(F.col("histogram")[i] * F.col("_times")), F.lit(0)) for i in range(bins)]).alias("histogram")
+        (F.sum(F.col("mean") * F.col("count")) / F.sum("count")).alias("mean"), F.sum("count").alias("count"),
+        F.array(*[F.coalesce(F.sum(F.col("histogram")[i]), F.lit(0)) for i in range(bins)]).alias("histogram"),
     )
+    sums = used.select("_key", "histogram").mapInArrow(_replicate_sums(n_bootstrap, seed), "_rep long, histogram array<bigint>")
+    resampled = merge_histograms(sums, ["_rep"]).where(F.aggregate("histogram", F.lit(0).cast("bigint"), lambda a, x: a + x) > 0)
     per_rep = resampled.select(*[histogram_percentile(F.col("histogram"), p).alias(f"p{p}") for p in percentiles])
     ci = per_rep.agg(
         *[F.percentile(f"p{p}", F.array(F.lit(0.025), F.lit(0.975))).alias(f"p{p}_ci") for p in percentiles]

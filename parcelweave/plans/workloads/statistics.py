@@ -62,15 +62,36 @@ def merged_histogram_percentiles(t):
     )
 
 
-@query("global_latency_stats")
+def _bootstrap_sql(reps: int) -> str:
+    """All replicates in SQL: Poisson weights from the same digests, then percentiles as above for each."""
+    weight = " + ".join(f"(u >= {t})::bigint" for t in S.POISSON)
+    los = "[" + ", ".join(f"{e:e}" for e in LATENCY_EDGES) + "]"
+
+    def percentile(p: int) -> str:
+        return f"first(case when bin = 12 then lo else lo + (total * {p} / 1e2 - before) / n * (hi - lo) end order by bin) filter (upto >= total * {p} / 1e2)"
+
+    ends = ", ".join(f"{he(f'quantile_cont(p{p}, {q})', 6)} as p{p}_{e}" for p in (50, 90, 95, 99) for q, e in ((0.025, "low"), (0.975, "high")))
+    return f"""{_BINS}, per_user as (select cast(user_id as string) as k, bin, count(*) as n from b group by all),
+    draws as (select k, r, cast('0x' || substr(md5('42|' || cast(r // 8 as string) || '|' || k), 4 * (r % 8) + 1, 4) as bigint) as u
+      from (select distinct k from per_user), generate_series(0, {reps - 1}) g(r)),
+    weighted as (select r, bin, sum(n * w) as n from (select k, r, {weight} as w from draws) join per_user using (k) where w > 0 group by r, bin
+      union all select -1, bin, sum(n) from per_user group by bin),
+    c as (select r, bin, n, sum(n) over (partition by r order by bin) as upto, sum(n) over (partition by r order by bin) - n as before,
+      sum(n) over (partition by r) as total, {los}[bin + 1] as lo, {los}[bin + 2] as hi from weighted),
+    q as (select r, {', '.join(f'{percentile(p)} as p{p}' for p in (50, 90, 95, 99))} from c group by r)
+    select (select count(*) from e) as count, (select {he('avg(ms)', 4)} from e) as mean,
+      {', '.join(f"(select {he(f'p{p}', 6)} from q where r = -1) as p{p}" for p in (50, 90, 95, 99))}, {ends} from q where r >= 0"""
+
+
+@query("global_latency_stats", _bootstrap_sql(200))
 def global_latency_stats(t):
     """Global mean and percentiles with bootstrap intervals over users as chunks."""
     chunks = _latencies(t).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("count"), F.avg("ms").alias("mean"), S.histogram(F.col("ms")).alias("histogram")
     )
     g = S.global_stats(chunks, "user_id", n_bootstrap=200)
-    ends = [F.col(f"p{p}_ci")[i].alias(f"p{p}_{e}") for p in (50, 90, 95, 99) for i, e in enumerate(("low", "high"))]
-    return g.select("count", "mean", "p50", "p90", "p95", "p99", *ends)
+    ends = [half_even(F.col(f"p{p}_ci")[i], 6).alias(f"p{p}_{e}") for p in (50, 90, 95, 99) for i, e in enumerate(("low", "high"))]
+    return g.select("count", half_even(F.col("mean"), 4).alias("mean"), *[half_even(F.col(f"p{p}"), 6).alias(f"p{p}") for p in (50, 90, 95, 99)], *ends)
 
 
 @query("error_summary", """

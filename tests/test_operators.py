@@ -245,6 +245,22 @@ def test_bootstrap_ignores_empty_groups(spark):
     assert r["p50_ci"][0] >= 100.0
 
 
+def test_bootstrap_intervals_are_those_of_resampling(spark):
+    """Against NumPy draws of groups with replacement: the same width, around the overall percentile."""
+    rng = np.random.default_rng(3)
+    edges = np.array([*LATENCY_EDGES, np.inf])
+    chunks = [np.histogram(rng.gamma(2, 40 + 300 * (i % 3), 30), edges)[0] for i in range(80)]
+    df = spark.createDataFrame([(str(i), 30, 1.0, [int(x) for x in h]) for i, h in enumerate(chunks)], "chunk string, count bigint, mean double, histogram array<bigint>")
+    r = stats.global_stats(df, "chunk", n_bootstrap=1000).first()
+    table = np.array(chunks)
+    sums = rng.multinomial(len(chunks), np.full(len(chunks), 1 / len(chunks)), 1000) @ table
+    at = spark.createDataFrame([([int(x) for x in h],) for h in sums], "h array<bigint>").select(stats.histogram_percentile(F.col("h"), 50).alias("p")).toPandas().p
+    low, high = np.percentile(at, [2.5, 97.5])
+    assert low < r["p50"] < high
+    assert abs(r["p50_ci"][0] - low) < 0.25 * (high - low) and abs(r["p50_ci"][1] - high) < 0.25 * (high - low)
+    assert r["p50_ci"] == stats.global_stats(df.repartition(7), "chunk", n_bootstrap=1000).first()["p50_ci"]
+
+
 def test_greedy_cover_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     pairs = {(int(p), f"s{int(s)}") for p, s in zip(rng.integers(0, 40, 150), rng.integers(0, 9, 150))}
