@@ -40,13 +40,13 @@ def inputs(t) -> export.ExportInputs:
 , p as (select aoi_id, feature_id, class_id, row_number() over (partition by aoi_id, class_id order by clipped_area_sqm desc nulls last, unclipped_area_sqm desc nulls last, feature_id) as rn
   from features where class_id in ('{ROOF}', '{BUILDING}', '{BUILDING_LIFECYCLE}', '{POOL}'))
 select f.aoi_id, f.feature_id, f.class_id, coalesce(rn = 1, false) as is_primary, m.system_version from features f join metadata m using (aoi_id)
-left join p on p.aoi_id = f.aoi_id and p.feature_id = f.feature_id and p.class_id = f.class_id where f.class_id <> '{ROOF_INSTANCE}'""")
+left join p on p.aoi_id = f.aoi_id and p.feature_id = f.feature_id and p.class_id = f.class_id""")
 def export_features(t):
     """Feature output: metadata ⋈ features ⋈ areas with the primary flag."""
     i = inputs(t)
     linked = export.linked_features(i, "au", cell_size=CELL)
     r = parcel_rollup(i.aois, linked, [c for c in CATALOGUE if c.class_id != ROOF_INSTANCE], "au")
-    out = export.feature_output(linked.where(F.col("class_id") != ROOF_INSTANCE), i, r, "au")
+    out = export.feature_output(linked, i, r, "au")
     return out.select("aoi_id", "feature_id", "class_id", "is_primary", "system_version")
 
 
