@@ -13,7 +13,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelweave.llm.common import OWN, cut_lineage
@@ -55,16 +54,18 @@ def directory(keys: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int
     total = cells.agg(F.coalesce(F.sum("keys"), F.lit(0))).first()[0]
     room = max(capacity, -(-total // (1 << (MAX_DEPTH - 3))))
     depth = 0
-    mates = W.partitionBy("bits", _leading(F.col("cell"), F.col("bits")))
+    bucket = _leading(F.col("cell"), F.col("bits"))
     while True:
-        split = cells.withColumn("over", (F.sum("keys").over(mates) > room) & (F.col("bits") < MAX_DEPTH))
+        # Sums first: at the start all cells are one bucket, which no single task should hold.
+        held = cells.groupBy("bits", bucket.alias("bucket")).agg(F.sum("keys").alias("held"))
+        split = cells.withColumn("bucket", bucket).join(held, ["bits", "bucket"]).withColumn("over", (F.col("held") > room) & (F.col("bits") < MAX_DEPTH))
         grown = cut_lineage(split.select("cell", "keys", "rows", (F.col("bits") + F.col("over").cast("int")).alias("bits")), cells)
         deepest = grown.agg(F.max("bits")).first()[0] or 0
         cells = grown
         if deepest == depth:
             break
         depth = deepest
-    buckets = cells.groupBy(_leading(F.col("cell"), F.col("bits")).alias("bucket"), "bits").agg(F.sum("rows").alias("rows"))
+    buckets = cells.groupBy(bucket.alias("bucket"), "bits").agg(F.sum("rows").alias("rows"))
     # Some copies among its keys are no reason to split a bucket up.
     buckets = buckets.withColumn("pages", F.when(F.col("rows") > 4 * room, F.ceil(F.col("rows") / room)).otherwise(1).cast("int"))
     wide = F.lit(depth) - F.col("bits")
