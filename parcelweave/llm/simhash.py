@@ -190,7 +190,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     and of those the smallest :func:`stable_key`.
 
     Documents are told apart by id and content, so null ids and ids that several texts share stand for as
-    many documents as there are texts.  Of rows alike in both, the smallest in the other columns stays.
+    many documents as there are texts.  Of rows alike in both, the one whose columns come first as JSON text stays.
     """
     prepare(docs.sparkSession)
     rows = docs.select(stable_key(F.col(key), F.col(text)).alias("key"), F.col(key).alias("id"), F.col(text).alias("text"))
@@ -206,6 +206,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def _one_each(rows: DataFrame) -> DataFrame:
-    """One row per key, the same in every run, without the key."""
+    """One row per key, the same in every run, without the key: the first as JSON text, as columns may be of
+    kinds that have no order."""
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != f"{OWN}key"])
-    return rows.groupBy(f"{OWN}key").agg(F.min(whole).alias(f"{OWN}row")).select(f"{OWN}row.*")
+    return rows.groupBy(f"{OWN}key").agg(F.min_by(whole, F.to_json(whole)).alias(f"{OWN}row")).select(f"{OWN}row.*")

@@ -78,3 +78,10 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(docs).count() == 0
     assert keep_first(docs).count() == 0
+
+
+def test_keep_first_with_columns_that_have_no_order(spark):
+    prose = " ".join(f"word{i} of{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, prose, {"a": 2}), (1, prose, {"a": 1}), (2, prose, {"b": 1}), (3, "other words altogether", None)], "doc_id long, text string, more map<string,int>")
+    got = sorted((r.doc_id, str(r.more)) for r in keep_first(docs).collect())
+    assert got == [(1, "{'a': 1}"), (3, "None")]
