@@ -220,6 +220,26 @@ def parse_surveys(t):
     )
 
 
+@query("survey_date_errors", """
+select cast(user_id as string) as aoi_id, cast(event_id as string) as survey_id, 'capture date is no date: day ' || cast(event_id as string) as message from events where event_id % 11 = 4""")
+def survey_date_errors(t):
+    """Surveys whose capture date cannot be read are told about."""
+    day = F.when(F.col("event_id") % 11 == 4, F.concat(F.lit("day "), F.col("event_id").cast("string"))).when(F.col("event_id") % 11 != 5, F.date_format("ts", "yyyy-MM-dd"))
+    s = F.struct(F.col("event_id").cast("string").alias("id"), day.alias("captureDate"))
+    p = t.events.groupBy(F.col("user_id").cast("string").alias("aoi_id")).agg(F.to_json(F.struct(F.collect_list(s).alias("surveys"))).alias("payload"))
+    return payloads.survey_date_errors(p)
+
+
+@query("rejected_cutoffs", ctes("aois") + """
+select aoi_id, 'since' as "column", order_day as value from aois where o_orderkey % 3 = 0
+union all select aoi_id, 'until', order_day from aois where o_orderkey % 4 = 1""")
+def rejected_cutoffs(t):
+    """Areas with date limits that the chosen roof-age dataset cannot apply."""
+    k = F.col("o_orderkey")
+    a = t.aois().withColumns({"since": F.when(k % 3 == 0, F.col("order_day")), "until": F.when(k % 4 == 1, F.col("order_day"))})
+    return aoi.rejected_cutoffs(a, "A.0")
+
+
 @query("survey_resources", _SURVEYS + """
 select survey_id || '#' || cast(event_id as string) as survey_id, case when tiles and not aifeatures then 't' end as survey_resource_id,
   case when not (tiles and not aifeatures) then 'expected one resource, found ' || cast((case when tiles then 1 else 0 end) + (case when aifeatures then 2 else 0 end) as string) end as message from coverage""")

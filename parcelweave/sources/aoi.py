@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelweave.config import ADDRESS_FIELDS, AOI_ID
+from parcelweave.config import ADDRESS_FIELDS, AOI_ID, ROOF_AGE_DATASETS, ROOF_AGE_DATASETS_WITHOUT_CUTOFF
 from parcelweave.functions import geometry as G
 from parcelweave.sources.geopackage import read_geopackage
 from parcelweave.operators.outlines import invalid_reasons
@@ -103,6 +103,24 @@ def check_windows(df: DataFrame, columns: Sequence[str] = ("since", "until")) ->
             raise TypeError(f"column {c!r} must hold YYYY-MM-DD text, not {df.schema[c].dataType.simpleString()}")
 
 
+def rejected_cutoffs(df: DataFrame, dataset: str, columns: Sequence[str] = ("since", "until"), id_column: str = AOI_ID) -> DataFrame:
+    """(id, column, value): date limits of single areas that the roof-age ``dataset`` (a name or an id) cannot
+    apply; no rows for a dataset that knows limits."""
+    resource = ROOF_AGE_DATASETS.get(dataset, dataset)
+    refused = F.lit(resource in ROOF_AGE_DATASETS_WITHOUT_CUTOFF)
+    given = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns if c in df.columns]
+    kind = "array<struct<column:string,value:string>>"
+    limits = F.array(*given).cast(kind) if given else F.from_json(F.lit("[]"), kind)
+    return df.where(refused).select(id_column, F.explode(limits).alias("c")).select(id_column, "c.*").where(F.col("value").isNotNull())
+
+
+def check_cutoffs(df: DataFrame, dataset: str) -> None:
+    """Raise where an area sets a date limit that the dataset would ignore."""
+    first = rejected_cutoffs(df, dataset).first()
+    if first is not None:
+        raise ValueError(f"column {first['column']!r} has values, but dataset {dataset!r} knows no date limits")
+
+
 def query_mode(df: DataFrame) -> str:
     """'geometry' if the table has outlines, else 'address' if it has all address fields."""
     if "geometry" in df.columns:

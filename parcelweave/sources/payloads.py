@@ -221,6 +221,15 @@ def survey_rows(payloads: DataFrame, key: str = "aoi_id") -> DataFrame:
     )
 
 
+def survey_date_errors(payloads: DataFrame, key: str = "aoi_id") -> DataFrame:
+    """(key, survey_id, message): surveys whose capture date is there but is no date; :func:`survey_rows` keeps
+    them with a NULL date."""
+    s = payloads.select(key, F.explode(F.from_json("payload", f"struct<surveys:array<{SURVEY}>>")["surveys"]).alias("s"))
+    day = F.col("s.captureDate")
+    bad = s.where(day.isNotNull() & F.try_to_timestamp(day).isNull())
+    return bad.select(key, F.col("s.id").alias("survey_id"), F.concat(F.lit("capture date is no date: "), day).alias("message"))
+
+
 def survey_resources(surveys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lookup by survey id needs exactly one resource: (rows with it, violations)."""
     n = F.aggregate(F.map_values("resources"), F.lit(0), lambda a, r: a + F.size(r))

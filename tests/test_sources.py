@@ -178,3 +178,12 @@ def test_unknown_packs_raise(spark):
     assert rollup.select_classes(classes, packs).count() == 2
     with pytest.raises(ValueError, match="foobar"):
         rollup.select_classes(classes, packs, ["building", "foobar"])
+
+
+def test_date_limits_of_a_dataset_without_them(spark):
+    df = spark.createDataFrame([("a", "2024-01-01", None), ("b", None, None)], "aoi_id string, since string, until string")
+    with pytest.raises(ValueError, match="since"):
+        aoi.check_cutoffs(df, "A.0")
+    aoi.check_cutoffs(df, "A.1")
+    aoi.check_cutoffs(df.drop("since", "until"), "A.0")
+    aoi.check_cutoffs(df.where("aoi_id = 'b'"), "A.0")
