@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from parcelweave.llm.common import OWN
 
 TURN, TEXT, NEXT, END = "<turn>", "<text>", "<next>", "</turn>\n"
+#: Pieces that are counted at a time.
+BLOCK = 256
 _CONTROL = r"<(?=turn>|text>|next>|/turn>)"
 
 
@@ -64,7 +66,8 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     )
     chats = chats.select("conv_id", pieces.alias(f"{OWN}p"))
     formatted = F.concat(F.array_join(F.transform(f"{OWN}p", lambda p: F.concat(p["lead"], p["text"])), ""), F.lit(END))
-    empty = F.struct(F.lit(1).cast("long").alias("at"), F.expr("array_repeat(named_struct('start', 0L, 'length', 0L), 0)").alias("spans"))
+    spans = F.expr("array_repeat(named_struct('start', 0L, 'length', 0L), 0)")
+    empty = F.struct(F.lit(0).cast("long").alias("at"), spans.alias("spans"))
 
     def step(state: Column, p: Column) -> Column:
         start = state["at"] + F.length(p["lead"])
@@ -75,9 +78,22 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
             F.when(p["learn"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
         )
 
-    return chats.select(
-        "conv_id", formatted.alias("formatted"), F.aggregate(f"{OWN}p", empty, step, lambda s: s["spans"]).alias("loss_spans")
+    # An array that grows by one is copied each time, so blocks of pieces are counted from their own start.
+    first = F.sequence(F.lit(0), F.floor((F.size(f"{OWN}p") - 1) / BLOCK).cast("int"))
+    blocks = F.transform(first, lambda b: F.aggregate(F.slice(f"{OWN}p", b * BLOCK + 1, BLOCK), empty, step))
+    chats = chats.select("conv_id", formatted.alias("formatted"), blocks.alias(f"{OWN}b"))
+    before = F.aggregate(
+        f"{OWN}b",
+        F.struct(F.lit(1).cast("long").alias("at"), F.expr("array_repeat(0L, 0)").alias("starts")),
+        lambda s, b: F.struct((s["at"] + b["at"]).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")),
+        lambda s: s["starts"],
     )
+    chats = chats.withColumn(f"{OWN}s", before)
+    moved = F.transform(
+        F.arrays_zip(F.col(f"{OWN}b").alias("b"), F.col(f"{OWN}s").alias("s")),
+        lambda z: F.transform(z["b"]["spans"], lambda x: F.struct((x["start"] + z["s"]).alias("start"), x["length"].alias("length"))),
+    )
+    return chats.select("conv_id", "formatted", F.flatten(moved).alias("loss_spans"))
 
 
 def _role(i: Column) -> Column:

@@ -1,5 +1,6 @@
 """Quality rules, chat format, mix, archive and decontamination: odd rows and round trips."""
 
+import time
 import uuid
 
 import pytest
@@ -44,6 +45,16 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_long_conversation_takes_linear_time(spark):
+    turns = spark.range(39_999).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<turn>t"), "id").alias("text"))
+    began = time.monotonic()
+    row = chat.format_chats(turns).select("loss_spans", chat.learnt_text(F.col("formatted"), F.slice("loss_spans", 1, 3)).alias("first"), F.length("formatted").alias("n")).first()
+    assert time.monotonic() - began < 20
+    spans = [(s.start, s.length) for s in row.loss_spans]
+    assert len(spans) == sum(i % 3 != 0 for i in range(39_999)) and row.first == "<turn>t1<turn>t2<turn>t4"
+    assert all(a + n < b for (a, n), (b, _) in zip(spans, spans[1:], strict=False)) and sum(spans[-1]) + len("</turn>\n") == row.n + 1
+
+
 def test_mix_odd_rows(spark):
     rows = [(1, "a b c", "s", 7), (1, "a b c", "s", 7), (2, None, "s", None), (3, "", None, 7), (4, "x " * 100_000, "big", 7), (None, "p q", None, 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
