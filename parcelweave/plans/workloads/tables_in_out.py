@@ -96,13 +96,15 @@ def address_rows(t):
 # ------------------------------------------------------------------ payloads
 def landed(t):
     """One JSON payload per order, built from its line items."""
-    f = t.features().withColumn("confidence", F.col("confidence") - 0.004)
+    # Grouped by area below; shuffled first, so that the payload texts are written by all tasks.
+    f = t.features().repartition("aoi_id").withColumn("confidence", F.col("confidence") - 0.004)
     item = F.struct(
         F.col("feature_id").alias("id"), F.col("class_id").alias("classId"), F.col("confidence"), F.col("area_sqm").alias("areaSqm"),
         F.col("clipped_area_sqm").alias("clippedAreaSqm"), F.col("unclipped_area_sqm").alias("unclippedAreaSqm"), F.col("survey_date").alias("surveyDate"),
         (F.col("l_suppkey") % 3 != 0).alias("belongsToParcel"), F.from_json(_box_text("geojson"), "type string, coordinates array<array<array<double>>>").alias("geometry"),
         F.when(F.col("l_partkey") % 2 == 0, F.struct((F.col("l_partkey") % 100).alias("value"))).alias("roofSpotlightIndex"),
         F.when(F.col("multiparcel_feature"), F.from_json(_box_text("geojson"), "type string, coordinates array<array<array<double>>>")).alias("clippedGeometry"),
+        F.when(F.col("aoi_id").cast("bigint") % 5 == 0, F.struct((F.col("l_suppkey") % 10).alias("grade"), F.array(F.lit("a"), F.col("kind")).alias("notes"))).alias("siteReview"),
     )
     payload = F.struct(
         F.lit("gen6").alias("systemVersion"), F.lit("http://x/y").alias("link"), F.max("survey_date").alias("surveyDate"), F.lit("sid").alias("surveyId"),
@@ -114,10 +116,11 @@ def landed(t):
 
 @query("parse_features", ctes("features") + f"""
 select aoi_id, feature_id, class_id, {he('confidence - 4e-3', 2)} as confidence, area_sqm, survey_date, multiparcel_feature,
-  (x2 - x1) * (y2 - y1) as area, cast(case when l_partkey % 2 = 0 then l_partkey % 100 end as double) as rsi, case when l_partkey % 2 = 0 then 'm9' end as rsi_version
+  (x2 - x1) * (y2 - y1) as area, cast(case when l_partkey % 2 = 0 then l_partkey % 100 end as double) as rsi, case when l_partkey % 2 = 0 then 'm9' end as rsi_version,
+  case when cast(aoi_id as bigint) % 5 = 0 then l_suppkey % 10 end as review_grade, case when cast(aoi_id as bigint) % 5 = 0 then kind end as review_note
 from features where l_suppkey % 3 <> 0""")
 def parse_features(t):
-    """Payloads → features in parcel mode, with model versions filled in from the top level."""
+    """Payloads → features in parcel mode, with model versions filled in from the top level and unnamed keys kept."""
     from parcelweave.operators.includes import parse_include
 
     f = payloads.feature_rows(landed(t), parcel_mode=True)
@@ -125,6 +128,7 @@ def parse_features(t):
     return f.withColumn("r", rsi).select(
         "aoi_id", "feature_id", "class_id", "confidence", "area_sqm", "survey_date", "multiparcel_feature", G.area(F.col("geometry")).alias("area"),
         F.col("r.value").alias("rsi"), F.col("r.modelVersion").alias("rsi_version"),
+        F.variant_get("other", "$.siteReview.grade", "bigint").alias("review_grade"), F.variant_get("other", "$.siteReview.notes[1]", "string").alias("review_note"),
     )
 
 

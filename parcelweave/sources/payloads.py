@@ -20,14 +20,14 @@ FLOATS = (
     "areaSqft", "clippedAreaSqft", "unclippedAreaSqft",
 )
 TEXTS = ("id", "classId", "description", "parentId", "geometry", "clippedGeometry", "attributes", "damage", "surveyDate", "meshDate")
-FEATURE = (
-    "struct<" + ",".join([f"{c}:string" for c in TEXTS] + [f"{c}:double" for c in FLOATS] + ["belongsToParcel:boolean"]
-                          + [f"{c}:string" for c in API_INCLUDES.values()]) + ">"
-)
+#: Keys of a feature that become columns; whatever else a feature holds is kept together in ``other``.
+FEATURE_KEYS = (*TEXTS, *FLOATS, "belongsToParcel", *API_INCLUDES.values())
 FEATURE_PAYLOAD = (
     "struct<systemVersion:string,link:string,surveyDate:string,surveyId:string,resourceId:string,perspective:string,"
-    f"postcat:string,`3dDate`:string,aggregate:string,versions:map<string,struct<modelVersion:string>>,features:array<{FEATURE}>>"
+    "postcat:string,`3dDate`:string,aggregate:string,versions:map<string,struct<modelVersion:string>>,"
+    "features:array<map<string,string>>>"
 )
+FEATURE_VALUES = "struct<features:array<map<string,variant>>>"
 
 
 def parsed_features(payloads: DataFrame) -> DataFrame:
@@ -57,15 +57,21 @@ def feature_metadata(payloads: DataFrame) -> DataFrame:
     )
 
 
-def _with_model_version(payload: Column, include: Column, api_key: str) -> Column:
-    """Put the response-level model version into an include object."""
-    version = payload["versions"][api_key]["modelVersion"]
-    fits = include.isNotNull() & F.startswith(include, F.lit("{")) & version.isNotNull() & (version != "")
-    # Only the object's own key is replaced; values, nested objects included, stay as they are.
+def _with_model_version(versions: Column, include: Column, api_key: str) -> Column:
+    """Put the response-level model version into an include object.
+
+    It goes in front of the text; only an object that names a version of its own is taken apart.
+    """
+    version = versions[api_key]["modelVersion"]
+    fits = F.startswith(include, F.lit("{")) & version.isNotNull() & (version != "")
+    given = F.to_json(F.struct(version.alias("modelVersion")))
+    head = F.substring(given, F.lit(1), F.length(given) - 1)
+    spliced = F.concat(head, F.when(include == "{}", "").otherwise(","), F.substring(include, F.lit(2), F.length(include)))
+    # Values, nested objects included, stay as they are.
     others = F.map_filter(F.from_json(include, "map<string,variant>"), lambda name, _: name != "modelVersion")
-    given = F.create_map(F.lit("modelVersion"), F.to_variant_object(F.struct(version.alias("v"))))
-    own = F.transform_values(given, lambda _, v: F.variant_get(v, "$.v", "variant"))
-    return F.when(fits, F.to_json(F.map_concat(own, others))).otherwise(include)
+    own = F.from_json(given, "map<string,variant>")
+    named = F.contains(include, F.lit('"modelVersion"'))
+    return F.when(fits & named, F.to_json(F.map_concat(own, others))).when(fits, spliced).otherwise(include)
 
 
 def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False) -> DataFrame:
@@ -74,33 +80,45 @@ def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False) -> DataFrame
     In parcel mode features that do not belong to the parcel are left out, but only where the
     payload's first feature carries the flag at all; a missing flag counts as true.  A clipped
     outline replaces the outline and marks the feature as multi-parcel.  Confidence is rounded to
-    two decimals here, before anything is aggregated.
+    two decimals here, before anything is aggregated.  Keys without a column of their own come as one
+    VARIANT object, ``other`` (NULL where there are none); only payloads with such keys are read for it.
     """
     p = parsed_features(payloads)
-    flagged = F.get(F.col("p.features"), F.lit(0))["belongsToParcel"].isNotNull()
-    rows = p.select("aoi_id", F.col("p"), flagged.alias("_flagged"), F.explode("p.features").alias("f"))
+    features = F.col("p.features")
+    known = F.array(*[F.lit(k) for k in FEATURE_KEYS])
+    more = F.exists(features, lambda f: F.size(F.array_except(F.map_keys(f), known)) > 0)
+    values = F.when(more, F.from_json("payload", FEATURE_VALUES)["features"])
+    flagged = F.get(features, F.lit(0))["belongsToParcel"].isNotNull()
+    p = p.select("aoi_id", F.col("p.versions").alias("_versions"), flagged.alias("_flagged"), features.alias("_f"), values.alias("_v"))
+    rows = p.select(
+        "aoi_id", "_versions", "_flagged",
+        F.explode(F.arrays_zip("_f", F.coalesce("_v", F.array().cast("array<map<string,variant>>")).alias("_v"))).alias("z"),
+    ).select("aoi_id", "_versions", "_flagged", F.col("z._f").alias("f"), F.col("z._v").alias("_v"))
+    belongs = F.coalesce(F.col("f")["belongsToParcel"].try_cast("boolean"), F.lit(True))
     if parcel_mode:
-        rows = rows.where(~F.col("_flagged") | F.coalesce("f.belongsToParcel", F.lit(True)))
-    clipped = F.col("f.clippedGeometry")
+        rows = rows.where(~F.col("_flagged") | belongs)
+    clipped = F.col("f")["clippedGeometry"]
     has_clip = clipped.isNotNull() & ~clipped.isin("", "{}", "null")
     cols = {
-        "feature_id": F.col("f.id"),
-        "class_id": F.col("f.classId"),
-        "description": F.col("f.description"),
-        "parent_id": F.col("f.parentId"),
-        "geometry": G.from_geojson(F.when(has_clip, clipped).otherwise(F.col("f.geometry"))),
+        "feature_id": F.col("f")["id"],
+        "class_id": F.col("f")["classId"],
+        "description": F.col("f")["description"],
+        "parent_id": F.col("f")["parentId"],
+        "geometry": G.from_geojson(F.when(has_clip, clipped).otherwise(F.col("f")["geometry"])),
         "multiparcel_feature": has_clip,
-        "attributes": F.col("f.attributes"),
-        "damage": F.col("f.damage"),
-        "survey_date": F.col("f.surveyDate"),
-        "mesh_date": F.col("f.meshDate"),
-        "belongs_to_parcel": F.coalesce("f.belongsToParcel", F.lit(True)),
+        "attributes": F.col("f")["attributes"],
+        "damage": F.col("f")["damage"],
+        "survey_date": F.col("f")["surveyDate"],
+        "mesh_date": F.col("f")["meshDate"],
+        "belongs_to_parcel": belongs,
     }
     for c in FLOATS:
-        value = F.nanvl(F.col(f"f.{c}"), F.lit(None).cast("double"))
+        value = F.nanvl(F.col("f")[c].try_cast("double"), F.lit(None).cast("double"))
         cols[snake_name(c)] = half_even(value, 2) if c == "confidence" else value
     for name, api_key in API_INCLUDES.items():
-        cols[name] = _with_model_version(F.col("p"), F.col(f"f.{api_key}"), api_key)
+        cols[name] = _with_model_version(F.col("_versions"), F.col("f")[api_key], api_key)
+    unnamed = F.map_filter("_v", lambda name, _: ~name.isin(*FEATURE_KEYS))
+    cols["other"] = F.when(F.size(unnamed) > 0, F.to_variant_object(unnamed))
     return rows.select("aoi_id", *[v.alias(k) for k, v in cols.items()])
 
 

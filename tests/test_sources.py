@@ -166,6 +166,22 @@ def test_nested_model_version_stays(spark):
     assert json.loads(row.roof_spotlight_index) == {"riskScore": 1, "modelVersion": "new", "detail": {"modelVersion": "keep"}}
 
 
+def test_unnamed_feature_keys_stay(spark):
+    features = [
+        {"id": "a", "confidence": 0.5, "review": {"grade": 3, "by": ["x", None]}, "rank": 7, "note": "5"},
+        {"id": "b", "confidence": "much", "roofSpotlightIndex": {}},
+        {"id": "c", "rank": None},
+    ]
+    text = json.dumps({"versions": {"roofSpotlightIndex": {"modelVersion": 'q"1'}}, "features": features})
+    plain = json.dumps({"features": [{"id": "d"}]})
+    df = spark.createDataFrame([("1", text), ("2", plain), ("3", None), ("4", "{}")], "aoi_id string, payload string")
+    rows = {r.feature_id: r for r in payloads.feature_rows(df).withColumn("other", F.to_json("other")).collect()}
+    assert json.loads(rows["a"].other) == {"review": {"grade": 3, "by": ["x", None]}, "rank": 7, "note": "5"}
+    assert (rows["b"].other, rows["b"].confidence, rows["d"].other) == (None, None, None)
+    assert json.loads(rows["c"].other) == {"rank": None}
+    assert json.loads(rows["b"].roof_spotlight_index) == {"modelVersion": 'q"1'} and set(rows) == set("abcd")
+
+
 def test_url_queries_are_cut(spark):
     text = "GET https://a.b/c?key=1&x=http://z?y failed:\thttp://d?e  twice? yes http://f"
     assert one(spark, columns.strip_url_query(F.lit(text))) == "GET https://a.b/c?... failed:\thttp://d?...  twice? yes http://f"
