@@ -15,6 +15,7 @@ from parcelweave.functions.columns import strip_url_query
 PERCENTILES = (50, 90, 95, 99)
 BRACKET = 0.0005
 SKETCH_ACCURACY = 10_000
+BINS = 1024
 # Below this size a bracket would be narrower than a few ranks: the whole group is its bracket.
 SMALL_GROUP = 8_000
 
@@ -28,52 +29,65 @@ def histogram(value: Column, edges: Sequence[float] = LATENCY_EDGES) -> Column:
     return F.array(*bins)
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: Sequence[float]) -> DataFrame:
-    """(keys, p<NN>...): exact percentiles with linear interpolation.
+def _bracket_bin(v: Column, low: Column, high: Column) -> Column:
+    """Bin of a value between two bounds, -1 below and ``BINS`` above; never falls as the value grows."""
+    share = (v / 2 - low / 2) / (high / 2 - low / 2)
+    even = (low > float("-inf")) & (high < float("inf")) & (low < high)
+    inner = F.when(even, F.least(F.floor(share * BINS).cast("int"), F.lit(BINS - 1))).otherwise(0)
+    return F.when(v < low, -1).when(v > high, BINS).otherwise(inner)
+
 
-    A mergeable sketch brackets each wanted rank; one more pass counts what lies below each
-    bracket and collects the distinct values inside it.  The sketch error is far below the
-    bracket's half-width, so the rank is always inside, and a task sees about a thousandth of a group.
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, percentiles: Sequence[float]) -> DataFrame:
+    """(keys, p<NN>...): exact percentiles with linear interpolation, by distributed selection.
+
+    Three passes, each one aggregate with map-side combining.  A mergeable sketch brackets each wanted
+    rank (small groups are their own bracket, as ranks lie further apart there than the sketch's error).
+    Every row is then placed in one of ``BINS`` bins of each bracket; as values lie on a line, the places for
+    all brackets together take few distinct combinations, so one count of combinations says what lies
+    below and in which bin a rank is.  Only rows of those bins, about a millionth of a large group, are sorted.
+    Values that heap up in one bin cost time, not exactness: equal ones are counted before the sort.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     probes = [min(max(p / 100 + d, 0.0), 1.0) for p in percentiles for d in (-BRACKET, BRACKET)]
     bounds = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", F.array(*[F.lit(q) for q in probes]), SKETCH_ACCURACY).alias("_q"),
-        F.count(F.lit(1)).alias("_n"),
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
     small = F.col("_n") < SMALL_GROUP
-    lows = [F.when(small, float("-inf")).otherwise(F.col("_q")[2 * i]) for i in range(len(percentiles))]
-    highs = [F.when(small, float("inf")).otherwise(F.col("_q")[2 * i + 1]) for i in range(len(percentiles))]
-    seen = rows.join(bounds, keys)
-    below = seen.groupBy(*keys, "_n").agg(
-        *[F.count_if(F.col("_v") < lows[i]).alias(f"_below{i}") for i in range(len(percentiles))]
-    )
-    hits = F.array_compact(
-        F.array(*[F.when((F.col("_v") >= lows[i]) & (F.col("_v") <= highs[i]), i) for i in range(len(percentiles))])
-    )
-    inside = seen.select(*keys, "_v", F.explode(hits).alias("_i")).groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(W.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
-    ranked = inside.withColumn("_hi", upto).withColumn("_lo", F.col("_hi") - F.col("_c"))
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_i"),
-                (F.lit(p / 100.0) * (F.col("_n") - 1)).alias("rank"),
-                F.col(f"_below{i}").alias("base"),
-            )
-            for i, p in enumerate(percentiles)
-        ]
-    )
-    wanted = below.select(*keys, F.explode(targets).alias("t")).select(*keys, "t._i", "t.rank", "t.base")
-    at = lambda r: F.when((r - F.col("base") >= F.col("_lo")) & (r - F.col("base") < F.col("_hi")), F.col("_v"))
-    found = ranked.join(wanted, [*keys, "_i"]).groupBy(*keys, "_i", "rank").agg(
-        F.max(at(F.floor("rank"))).alias("a"), F.max(at(F.ceil("rank"))).alias("b")
+    places = [
+        _bracket_bin(
+            F.col("_v"), F.when(small, F.col("_min")).otherwise(F.col("_q")[2 * i]),
+            F.when(small, F.col("_max")).otherwise(F.col("_q")[2 * i + 1]),
+        )
+        for i in range(len(percentiles))
+    ]
+    placed = rows.join(bounds, keys).select(*keys, "_n", "_v", F.array(*places).alias("_c"))
+    cells = placed.groupBy(*keys, "_n", "_c").agg(F.count(F.lit(1)).alias("_k"))
+    bins = cells.select(*keys, "_n", "_k", F.posexplode("_c").alias("_i", "_b"))
+    bins = bins.groupBy(*keys, "_n", "_i", "_b").agg(F.sum("_k").alias("_k"))
+    # At most BINS + 2 rows each.
+    upto = F.sum("_k").over(W.partitionBy(*keys, "_i").orderBy("_b").rowsBetween(W.unboundedPreceding, 0))
+    rank = F.array(*[F.lit(p / 100.0) for p in percentiles])[F.col("_i")] * (F.col("_n") - 1)
+    bins = bins.select(*keys, "_i", "_b", (upto - F.col("_k")).alias("_base"), upto.alias("_upto"), rank.alias("_rank"))
+    holds = lambda r, low, high: (r >= low) & (r < high)
+    floor, ceil = F.floor("_rank"), F.ceil("_rank")
+    chosen = bins.where(holds(floor, F.col("_base"), F.col("_upto")) | holds(ceil, F.col("_base"), F.col("_upto"))).drop("_upto")
+
+    within = F.filter(
+        F.transform("_c", lambda b, i: F.struct(i.alias("_i"), b.alias("_b"))), lambda c: (c["_b"] >= 0) & (c["_b"] < BINS)
     )
+    near = placed.select(*keys, "_v", F.inline(within)).join(chosen, [*keys, "_i", "_b"])
+    near = near.groupBy(*keys, "_i", "_b", "_base", "_rank", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    upto = F.sum("_k").over(W.partitionBy(*keys, "_i", "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0))
+    near = near.withColumn("_hi", upto + F.col("_base")).withColumn("_lo", F.col("_hi") - F.col("_k"))
+    at = lambda r: F.max(F.when(holds(r, F.col("_lo"), F.col("_hi")), F.col("_v")))
+    found = near.groupBy(*keys, "_i").agg(at(floor).alias("a"), at(ceil).alias("b"))
     missed = F.raise_error(F.lit("a percentile lies outside its bracket")).cast("double")
     point = F.when(F.col("a").isNull() | F.col("b").isNull(), missed).otherwise(
-        F.col("a") + (F.col("b") - F.col("a")) * (F.col("rank") - F.floor("rank"))
+        F.col("a") + (F.col("b") - F.col("a")) * (F.col("_rank") - floor)
     )
-    return found.groupBy(*keys).agg(
+    wanted = chosen.groupBy(*keys, "_i").agg(F.max("_rank").alias("_rank"))
+    return wanted.join(found, [*keys, "_i"], "left").groupBy(*keys).agg(
         *[F.max(F.when(F.col("_i") == i, point)).alias(f"p{_name(p)}") for i, p in enumerate(percentiles)]
     )
 

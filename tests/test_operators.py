@@ -235,6 +235,26 @@ def test_exact_percentiles_of_a_hot_group(spark):
         assert got["one"][f"p{q}"] == 5.0
 
 
+def test_exact_percentiles_of_heaped_and_extreme_values(spark):
+    rng = np.random.default_rng(5)
+    groups = {
+        "heaped": np.concatenate([np.full(20_000, 3.0), rng.random(500), [1e300, -1e300]]),
+        "close": 1 + rng.random(20_000) * 1e-12,
+        "tails": np.exp(rng.normal(0, 4, 20_000)),
+        "wide": np.array([-1.7e308, 0.0, 1.7e308]),
+        "endless": np.array([1.0, 2.0, 3.0, np.inf]),
+        "one": np.array([7.0]),
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame([*rows, ("none", None)], "g string, v double")
+    got = by(stats.exact_percentiles(df, ["g"], "v", (1, 50, 60, 99.9)), "g")
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        for q, name in ((1, "p1"), (50, "p50"), (60, "p60"), (99.9, "p99_9")):
+            if g != "endless" or q <= 60:
+                assert got[g][name] == pytest.approx(np.percentile(vs, q), rel=1e-12), (g, q)
+
+
 def test_bootstrap_ignores_empty_groups(spark):
     hist = [0] * len(LATENCY_EDGES)
     hist[2] = 10
