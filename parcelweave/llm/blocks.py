@@ -21,6 +21,8 @@ _PART = re.compile(r"[a-z]+")
 # Element kinds of HTML, fixed values.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+TO_END = frozenset("script style title textarea iframe".split())
 UNSEEN = frozenset("script style template noscript iframe object svg title textarea".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = frozenset(
@@ -67,16 +69,22 @@ def leaf_blocks(page: str) -> list[Block]:
                     del counter[key]
         return tag
 
+    def leave_head() -> None:
+        while pop() != "head":
+            pass
+
+    unclosed: set[str] = set()
     at, end = 0, len(page)
     while at < end:
         m = _TOKEN.match(page, at)
         at = m.end()
         piece = m.group()
         if piece[0] != "<" or piece == "<":
-            if "head" not in tags or "body" in tags:
-                pieces.append(piece)
-                if "a" in tags:
-                    linked += len(piece)
+            if "head" in tags and not piece.isspace():
+                leave_head()
+            pieces.append(piece)
+            if "a" in tags:
+                linked += len(piece)
             continue
         tag = (m.group(2) or m.group(5) or "").lower()
         if not tag or m.group(7) == "":
@@ -88,15 +96,21 @@ def leaf_blocks(page: str) -> list[Block]:
                 while pop() != tag:
                     pass
             continue
+        if tag not in IN_HEAD and "head" in tags:
+            leave_head()
         if tag in UNSEEN:
+            if tag in unclosed or tag == "svg" and piece.endswith("/>"):
+                continue
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else end
+            if close:
+                at = close.end()
+            elif tag in TO_END:
+                at = end
+            else:
+                unclosed.add(tag)
             continue
         if tag in VOID:
             continue
-        if tag == "body" and "head" in tags:
-            while pop() != "head":
-                pass
         if tag in CLOSES_P and "p" in tags:
             while pop() != "p":
                 pass

@@ -54,6 +54,18 @@ def test_malformed():
     assert texts("") == []
 
 
+def test_heads_and_elements_that_are_never_closed():
+    texts = lambda page: [b.text for b in leaf_blocks(page)]
+    assert texts("<html><head><title>T</title><h1>A</h1><p>Text") == ["A", "Text"]
+    assert texts("<head><meta charset=x><title>t</title>plain <b>text</b>") == ["plain text"]
+    assert texts("<head> <script>x</script>\n</head><body>b</body>") == ["b"]
+    assert texts('<svg viewBox="0 0 1 1"/><p>kept</p><svg><text>mark</text></svg>') == ["kept"]
+    for tag in ("noscript", "object", "template"):
+        assert texts(f"<p>a<{tag}><p>kept</p>" * 3) == ["a", "kept"] * 3
+    for tag in ("script", "style", "title", "textarea", "iframe"):
+        assert texts(f"<p>a<{tag}><p>lost</p>") == ["a"]
+
+
 def test_decode_is_the_best_path():
     rng = np.random.default_rng(5)
     sequences = [[[f"f{rng.integers(4)}", "b"] for _ in range(rng.integers(1, 7))] for _ in range(30)]
