@@ -12,6 +12,7 @@ from parcelweave.functions import geometry as G
 from parcelweave.functions import kernel as K
 from parcelweave.operators import attributes, chains, coverage, damage, grid, includes, linking, primary, rollup, spatial, stats
 from parcelweave.plans import export
+from parcelweave.plans.samples import with_boxes
 
 HERE = os.path.dirname(__file__)
 F_SCHEMA = "aoi_id string, feature_id string, class_id string, kind string, x1 double, y1 double, x2 double, y2 double"
@@ -337,3 +338,22 @@ def test_rollup_of_clipped_roofs_equals_roof_table(spark, gridded):
     want = roofs[row["primary_roof_feature_id"]]["roof_numbers"]
     assert row["primary_roof_tile_area_sqft"] == pytest.approx(want["tile_area_sqft"]) and want["tile_area_sqft"] > 97
     assert row["primary_roof_tile_ratio"] == pytest.approx(want["tile_ratio"]) == pytest.approx(1.0, abs=1e-6)
+
+
+def test_primary_ids_equal_the_rollup_and_need_no_record(spark):
+    rows = [("a", "f1", 5.0, 1.0), ("a", "f2", 5.0, 2.0), ("a", "f3", None, 9.0), ("b", "f4", None, None)]
+    f = spark.createDataFrame(rows, "aoi_id string, feature_id string, clipped_area_sqm double, unclipped_area_sqm double")
+    f = f.withColumns({"class_id": F.lit(ROOF), "area_sqm": F.lit(1.0), "confidence": F.lit(0.5), "fidelity": F.lit(0.5), "multiparcel_feature": F.lit(False)})
+    ids = rollup.primary_ids(f, [ROOF], "au")
+    assert sorted(map(tuple, ids.collect())) == [("a", ROOF, "f2"), ("b", ROOF, "f4")]
+    assert "fidelity" not in ids._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_boxes_meet_without_carrying_their_outline(spark):
+    rows = [("a", 0.0, 0.0, 2.0, 2.0), ("b", 1.0, 1.0, 3.0, 3.0)]
+    df = with_boxes(spark.createDataFrame(rows, "feature_id string, x1 double, y1 double, x2 double, y2 double")).withColumn("aoi_id", F.lit("1"))
+    tilted = df.limit(1).select("aoi_id", F.lit("t").alias("feature_id"), G.from_wkt(F.lit("POLYGON((1 0,2 1,1 2,0 1,1 0))")).alias("geometry"))
+    boxes = df.select("aoi_id", "feature_id", "geometry", "bbox")
+    assert {(r.child_id, r.parent_id): round(r.iou, 6) for r in linking.iou_pairs(boxes, tilted, cell_size=0.5).collect()} == {("a", "t"): 0.5, ("b", "t"): round(0.5 / 5.5, 6)}
+    packed = boxes.withColumn("_box", F.col("bbox")).select(linking._packed(boxes).alias("l")).select("l.geometry")
+    assert packed.where(F.col("geometry").isNotNull()).isEmpty()
