@@ -150,9 +150,49 @@ def footprints_at_points(
     return located.join(pieces, ["_cx", "_cy"]).where(inside).drop("_cx", "_cy", "geometry")
 
 
-def discover_events(points: DataFrame, footprints: DataFrame, key: str, **cells) -> DataFrame:
-    """Latest event per point from footprints that carry event columns."""
-    return latest_event_per_point(footprints_at_points(points, footprints, key, **cells), key)
+def _places(points: DataFrame, x_col: str, y_col: str) -> DataFrame:
+    """``_place, lon, lat`` of the distinct places of points."""
+    x, y = F.col(x_col).cast("double").alias("lon"), F.col(y_col).cast("double").alias("lat")
+    return points.select(x, y).where("lon is not null and lat is not null").distinct().withColumn("_place", F.struct("lon", "lat"))
+
+
+def _at(points: DataFrame, per_place: DataFrame, x_col: str, y_col: str) -> DataFrame:
+    """Points ⋈ what is known of their place."""
+    place = F.struct(F.col(x_col).cast("double").alias("lon"), F.col(y_col).cast("double").alias("lat"))
+    return points.withColumn("_place", place).join(per_place, "_place").drop("_place")
+
+
+def count_footprints_at_points(
+    points: DataFrame, footprints: DataFrame, key: str, by: Sequence[str], *, x_col: str = "lon", y_col: str = "lat", cell_size: float = 0.05
+) -> DataFrame:
+    """(key, by, n): how many footprints of each ``by`` group contain each point.
+
+    Points of one place and footprints of one outline meet once and are counted, so that copies on both
+    sides are not multiplied.
+    """
+    shapes = footprints.groupBy(*by, "geometry").agg(F.count(F.lit(1)).alias("_n"))
+    hits = footprints_at_points(_places(points, x_col, y_col), shapes, "_place", cell_size=cell_size)
+    per_place = hits.groupBy("_place", *by).agg(F.sum("_n").alias("_n"))
+    found = _at(points.select(key, x_col, y_col), per_place, x_col, y_col)
+    return found.groupBy(key, *by).agg(F.sum("_n").alias("n"))
+
+
+def discover_events(
+    points: DataFrame, footprints: DataFrame, key: str, *, x_col: str = "lon", y_col: str = "lat", cell_size: float = 0.05
+) -> DataFrame:
+    """Latest event per point from footprints that carry event columns.
+
+    Footprints of one event and outline meet the distinct places of the points once, and a place hands on
+    one row per event.
+    """
+    info = ("event_name", "event_date", "event_type")
+
+    def one(df, *keys):
+        return df.groupBy(*keys).agg(F.min(F.struct(*info)).alias("_info")).select(*keys, "_info.*")
+
+    tagged = footprints.where(F.col("event_id").isNotNull() & (F.col("event_id") != ""))
+    hits = footprints_at_points(_places(points, x_col, y_col), one(tagged, "event_id", "geometry"), "_place", cell_size=cell_size)
+    return latest_event_per_point(_at(points.select(key, x_col, y_col), one(hits, "_place", "event_id"), x_col, y_col), key)
 
 
 def event_boundary(footprints: DataFrame, *, since: str | None = None, until: str | None = None) -> DataFrame:

@@ -228,8 +228,7 @@ select * from hits""")
 def points_in_footprints(t):
     """Points ⋈ the footprints around them."""
     pts = t.customer.select("c_custkey", ((F.col("c_custkey") % 50) + 0.25).cast("double").alias("lon"), (F.col("c_nationkey") + 0.75).cast("double").alias("lat"))
-    hits = coverage.footprints_at_points(pts, _feet(t).select("event_id", "geometry"), "c_custkey", cell_size=8.0)
-    return hits.groupBy("c_custkey", "event_id").agg(F.count(F.lit(1)).alias("n"))
+    return coverage.count_footprints_at_points(pts, _feet(t).select("event_id", "geometry"), "c_custkey", ["event_id"], cell_size=8.0)
 
 
 @query("query_points", ctes("aois") + """

@@ -357,3 +357,17 @@ def test_boxes_meet_without_carrying_their_outline(spark):
     assert {(r.child_id, r.parent_id): round(r.iou, 6) for r in linking.iou_pairs(boxes, tilted, cell_size=0.5).collect()} == {("a", "t"): 0.5, ("b", "t"): round(0.5 / 5.5, 6)}
     packed = boxes.withColumn("_box", F.col("bbox")).select(linking._packed(boxes).alias("l")).select("l.geometry")
     assert packed.where(F.col("geometry").isNotNull()).isEmpty()
+
+
+def test_copies_of_points_and_footprints_meet_once(spark):
+    feet = boxes(spark, [("e1", 0, 0, 4, 4), ("e2", 0, 0, 2, 2)], "event_id string, x1 double, y1 double, x2 double, y2 double").crossJoin(spark.range(40)).drop("id")
+    pts = spark.range(300).select("id", F.lit(1.0).alias("lon"), F.when(F.col("id") < 200, 1.0).when(F.col("id") < 299, 3.0).alias("lat"))
+    got = coverage.count_footprints_at_points(pts, feet, "id", ["event_id"], cell_size=3.0)
+    assert by(got.groupBy("event_id", "n").count(), "event_id", "n").keys() == {("e1", 40), ("e2", 40)}
+    assert got.count() == 299 + 200
+    tagged = feet.withColumns({"event_name": F.lit("n"), "event_type": F.lit("fire"), "event_date": F.when(F.col("event_id") == "e2", "2024-02-01").otherwise("2024-01-01")})
+    latest = coverage.discover_events(pts, tagged, "id", cell_size=3.0).groupBy("event_id", "n_events").count()
+    assert {tuple(r) for r in latest.collect()} == {("e2", 2, 200), ("e1", 1, 99)}
+    # What meets is places x outlines, not points x footprints.
+    shapes = tagged.groupBy("event_id", "geometry").count()
+    assert coverage.footprints_at_points(coverage._places(pts, "lon", "lat"), shapes, "_place", cell_size=3.0).count() == 3
