@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from parcelweave.config import ADDRESS_FIELDS, AOI_ID, ROOF_AGE_DATASETS, ROOF_AGE_DATASETS_WITHOUT_CUTOFF
 from parcelweave.functions import geometry as G
 from parcelweave.sources.geopackage import read_geopackage
-from parcelweave.operators.outlines import invalid_reasons
+from parcelweave.operators.outlines import invalid_reasons, is_small, small_outlines
 from parcelweave.session import cut_lineage
 from parcelweave.sources.ids import dense_ids
 
@@ -84,11 +84,16 @@ def duplicate_ids(df: DataFrame, id_column: str = AOI_ID) -> DataFrame:
 def valid_geometry(df: DataFrame) -> DataFrame:
     """Leave out missing, empty and zero-area geometries, and those that are no valid area: see
     :func:`parcelweave.operators.outlines.invalid_reasons`."""
-    shaped = df.where(F.col("geometry").isNotNull() & (F.size("geometry") > 0)).where(G.area(F.col("geometry")) > 0)
-    # Written once, as the row numbers would change if they were made again.
-    rows = cut_lineage(shaped.withColumn("_row", F.monotonically_increasing_id()))
-    bad = invalid_reasons(rows, "_row").select("_row")
-    return rows.join(bad, "_row", "left_anti").drop("_row")
+    # Written once, as the row numbers would change if they were made again.  The number stands below the
+    # filters, which keeps the optimizer from parsing each geometry again for every one of them.
+    shaped = df.withColumn("_row", F.monotonically_increasing_id()).where(F.col("geometry").isNotNull() & (F.size("geometry") > 0))
+    rows = cut_lineage(shaped.where(G.area(F.col("geometry")) > 0))
+    good = small_outlines(rows).where(F.col("reason").isNull()).drop("reason", "_row")
+    large = rows.where(~is_small())
+    if large.isEmpty():
+        return good
+    bad = invalid_reasons(large, "_row").select("_row")
+    return good.unionByName(large.join(bad, "_row", "left_anti").drop("_row"))
 
 
 def reproject(df: DataFrame, country: str) -> DataFrame:

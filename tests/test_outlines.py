@@ -93,3 +93,17 @@ def test_crossing_rings_match_brute_force(spark):
     df = shapes(spark, [(str(i), "POLYGON((" + ",".join(f"{x} {y}" for x, y in [*r, r[0]]) + "))") for i, r in enumerate(rings)])
     bad = {int(r.k) for r in outlines.invalid_reasons(df, "k").collect()}
     assert bad == {i for i, r in enumerate(rings) if not K.simple_rings([[r]])}
+
+
+def test_small_outlines_are_judged_like_tables_of_edges(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(120):
+        parts = [[np.round(rng.uniform(0, 6, 2) + np.array([[0, 0], [w, 0], [w, h], [0, h], [0, 0]])) for w, h in rng.integers(1, 7, (rng.integers(1, 4), 2))] for _ in range(rng.integers(1, 3))]
+        texts.append("MULTIPOLYGON(" + ",".join("(" + ",".join("(" + ",".join(f"{x} {y}" for x, y in r) + ")" for r in p) + ")" for p in parts) + ")")
+    df = shapes(spark, [(str(i), w) for i, w in enumerate(texts)])
+    small = {r.k: r.reason for r in outlines.invalid_reasons(df, "k").collect()}
+    assert set(small.values()) >= set(outlines.REASONS[2:4]) and len(small) < 120
+    assert small == {r.k: r.reason for r in outlines._reasons_by_edges(df, "k", outlines.DIGITS).collect()}
+    # No shuffle, and no table of edges.
+    assert "Exchange" not in outlines.invalid_reasons(df, "k")._jdf.queryExecution().executedPlan().toString()
