@@ -33,6 +33,13 @@ def _box_text(kind: str):
     return F.concat(F.lit('{"type":"Polygon","coordinates":[['), pts, F.lit("]]}"))
 
 
+def _box_json():
+    """The rectangle as a GeoJSON geometry struct."""
+    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+    ring = F.array(*[F.array(x, y) for x, y in [(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]])
+    return F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+
+
 # ------------------------------------------------------------------ AOI sources
 _AOI_AREA = "select aoi_id, (x2 - x1) * (y2 - y1) as area from aois"
 
@@ -62,7 +69,8 @@ def read_aois_geojson(t):
     feature = F.concat(
         F.lit('{"type":"Feature","properties":{"aoi_id":"'), F.col("aoi_id"), F.lit('"},"geometry":'), _box_text("geojson"), F.lit("}")
     )
-    rows = t.aois().groupBy((F.col("o_orderkey") % 64).alias("file")).agg(
+    # A file is one task's work, so there are more files for more areas, not larger ones.
+    rows = t.aois().groupBy(F.floor(F.col("o_orderkey") / 2048).alias("file")).agg(
         F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value")
     )
     rows.select("value").write.option("maxRecordsPerFile", 1).text(path)
@@ -101,9 +109,9 @@ def landed(t):
     item = F.struct(
         F.col("feature_id").alias("id"), F.col("class_id").alias("classId"), F.col("confidence"), F.col("area_sqm").alias("areaSqm"),
         F.col("clipped_area_sqm").alias("clippedAreaSqm"), F.col("unclipped_area_sqm").alias("unclippedAreaSqm"), F.col("survey_date").alias("surveyDate"),
-        (F.col("l_suppkey") % 3 != 0).alias("belongsToParcel"), F.from_json(_box_text("geojson"), "type string, coordinates array<array<array<double>>>").alias("geometry"),
+        (F.col("l_suppkey") % 3 != 0).alias("belongsToParcel"), _box_json().alias("geometry"),
         F.when(F.col("l_partkey") % 2 == 0, F.struct((F.col("l_partkey") % 100).alias("value"))).alias("roofSpotlightIndex"),
-        F.when(F.col("multiparcel_feature"), F.from_json(_box_text("geojson"), "type string, coordinates array<array<array<double>>>")).alias("clippedGeometry"),
+        F.when(F.col("multiparcel_feature"), _box_json()).alias("clippedGeometry"),
         F.when(F.col("aoi_id").cast("bigint") % 5 == 0, F.struct((F.col("l_suppkey") % 10).alias("grade"), F.array(F.lit("a"), F.col("kind")).alias("notes"))).alias("siteReview"),
     )
     payload = F.struct(
@@ -155,7 +163,7 @@ def parse_roof_age(t):
     """Paged roof-age payloads → records; metadata from the first page."""
     f = t.features().where(F.col("class_id") == ROOF_INSTANCE)
     item = F.struct(
-        F.from_json(_box_text("geojson"), "type string, coordinates array<array<array<double>>>").alias("geometry"),
+        _box_json().alias("geometry"),
         F.struct(F.col("feature_id").alias("hilbertId"), "kind", F.col("area_sqm").alias("area"), F.col("survey_date").alias("installationDate"),
                  F.col("trust_score").alias("trustScore"), F.lit("http://m").alias("mapBrowserUrl")).alias("properties"),
     )
