@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelweave.config import GRID_SIZE_DEGREES, MAX_AOI_SQM_BEFORE_GRIDDING, SIZE_ERROR_CODES
 from parcelweave.functions import geometry as G
-from parcelweave.operators.outlines import dissolve
+from parcelweave.operators.outlines import dissolve, group_sizes
 from parcelweave.session import cut_lineage, spread
 
 SUMMED = ("area_sqm", "area_sqft", "clipped_area_sqm", "clipped_area_sqft")
@@ -113,17 +113,19 @@ def combine_grid_features(
         aggs.append(F.min_by(F.struct(*others), F.struct(*order)).alias("_top"))
     shaped = "geometry" in features.columns
     if shaped:
-        aggs += [F.min("geometry").alias("_low"), F.max("geometry").alias("_high")]
+        # Read twice; outlines may be costly to make.
+        rows = cut_lineage(rows)
+        aggs += group_sizes()
     out = rows.groupBy(*keys).agg(*aggs)
     zeros = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in sums}
     picked = [F.col(f"_top.{c}").alias(c) for c in others]
     if not shaped:
         return out.withColumns(zeros).select(*keys, *picked, *sums)
-    out = cut_lineage(out.withColumns(zeros).select(*keys, *picked, *sums, "_low", "_high"))
-    several = out.where(F.col("_low") != F.col("_high")).select(*keys)
-    united = dissolve(rows.select(*keys, "geometry").join(several, list(keys), "left_semi"), list(keys))
-    joined = out.join(united.withColumnRenamed("geometry", "_union"), list(keys), "left")
-    return joined.withColumn("geometry", F.coalesce("_union", "_low")).drop("_union", "_low", "_high")
+    out = cut_lineage(out.withColumns(zeros).select(*keys, *picked, *sums, "_shapes", "_most"))
+    united = dissolve(rows.select(*keys, "geometry"), list(keys), sizes=out.where("_shapes > 0"), keep=True)
+    key = F.struct(*keys).alias("_key")
+    joined = out.drop("_shapes", "_most").withColumn("_key", key).join(united.select(key, "geometry"), "_key", "left")
+    return joined.drop("_key")
 
 
 def conflicting_features(

@@ -4,6 +4,7 @@ Every ring is exploded into edges that have the shape's inside on their left.  E
 meet, so that afterwards two of them are equal, opposite or apart; how many shapes cover either side of
 one is a sum over the edges below it.  All steps are equi-joins on small cells and aggregations, so neither
 a large outline nor a crowded place becomes one task's work, and rings are put together by pointer doubling.
+Groups of few shapes of few points take the same steps in one Arrow batch (``functions/unions.py``).
 """
 
 from __future__ import annotations
@@ -348,15 +349,73 @@ def _owners(edges: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
     return turns.groupBy(F.col("_of").alias("ring")).agg(F.min_by("ring", "_size").alias("owner"))
 
 
-def dissolve(shapes: DataFrame, keys: list[str], digits: int = DIGITS, run: int = RUN) -> DataFrame:
+def dissolve(shapes: DataFrame, keys: list[str], digits: int = DIGITS, run: int = RUN, sizes: DataFrame | None = None, keep: bool = False) -> DataFrame:
     """``keys, geometry``: the union of each group's shapes, without overlaps and inner borders.
 
     Coordinates are rounded to ``digits`` decimals, and points as close as that to an edge lie on it.  Shapes
-    are taken as valid; groups without any area have no row.
+    are taken as valid; groups without any area have no row.  With ``keep``, groups whose shapes are all equal
+    keep that outline as it is, and so do groups without any area (the smallest of theirs).
+
+    Groups of few shapes meet in one Arrow batch.  Of the others, neighbouring shapes do so in runs of about
+    ``run`` first; what is left of each run, and shapes of many points, meet as tables of edges.  ``sizes``
+    (:func:`group_sizes`, by ``keys``) may be given where it is known.
     """
-    edges = ring_edges(shapes.where(F.col("geometry").isNotNull()), keys, digits)
+    given = shapes.where(F.col("geometry").isNotNull()).select(*keys, "geometry")
+    if sizes is None:
+        sizes = cut_lineage(given.groupBy(*keys).agg(*group_sizes()))
+    # As one struct, keys that are null meet too.
+    key = F.struct(*keys).alias("_key")
+    given, sizes = given.select(key, "geometry"), sizes.select(key, "_shapes", "_most")
+    few = (F.col("_shapes") <= run) & (F.col("_most") <= SMALL)
+    listed = given.join(sizes.where(few), "_key").groupBy("_key").agg(F.collect_list("geometry").alias("_all"))
+    if keep:
+        low = F.array_min("_all")
+        # A group of equal shapes does not pass through the kernel.
+        listed = listed.withColumn("_same", low == F.array_max("_all"))
+        united = G.union_parts(F.when(~F.col("_same"), F.flatten("_all")), F.lit(digits))
+        united = F.when(F.col("_same"), low).otherwise(F.coalesce(united, low))
+    else:
+        united = G.union_parts(F.flatten("_all"), F.lit(digits))
+    done = listed.select("_key.*", united.alias("geometry")).where(F.col("geometry").isNotNull())
+    many = sizes.where(~few)
+    if many.isEmpty():
+        return done
+    rows = cut_lineage(given.join(many.select("_key", "_shapes"), "_key").select("_key.*", "geometry", "_shapes"))
+    return done.unionByName(_dissolve_many(rows, keys, digits, run, keep))
+
+
+def group_sizes() -> list[Column]:
+    """What :func:`dissolve` has to know of a group of ``geometry``: its shapes, and the most points of one."""
+    points = F.when(F.col("geometry").isNotNull(), F.coalesce(F.size(F.flatten(F.flatten("geometry"))), F.lit(0)))
+    return [F.count("geometry").alias("_shapes"), F.max(points).alias("_most")]
+
+
+def _dissolve_many(rows: DataFrame, keys: list[str], digits: int, run: int, keep: bool) -> DataFrame:
+    """:func:`dissolve` of groups of many shapes (``_shapes``) or many points."""
+    box = G.bbox(F.col("geometry"))
+    placed = rows.where(is_small()).select(*keys, "geometry", "_shapes", ((box["minx"] + box["maxx"]) / 2).alias("_x"), ((box["miny"] + box["maxy"]) / 2).alias("_y"))
+    extent = placed.groupBy(*keys).agg(*[f(c).alias(f"{c}{n}") for c in ("_x", "_y") for f, n in ((F.min, 0), (F.max, 1))])
+    per_side = F.ceil(F.sqrt(F.col("_shapes") / run))
+
+    def place(c):
+        share = (F.col(c) - F.col(f"{c}0")) / F.nullif(F.col(f"{c}1") - F.col(f"{c}0"), F.lit(0.0))
+        return F.coalesce(F.least(F.floor(share * per_side), per_side - 1), F.lit(0))
+
+    placed = placed.join(cut_lineage(extent), keys).select(*keys, "geometry", place("_x").alias("_cx"), place("_y").alias("_cy"))
+    cells = [*keys, "_cx", "_cy"]
+    crowds = placed.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / run).alias("_chunks"))
+    # A crowded place is dealt over several runs.
+    dealt = placed.join(cut_lineage(crowds), cells).withColumn("_chunk", F.pmod(F.xxhash64("geometry"), F.col("_chunks")))
+    runs = dealt.groupBy(*cells, "_chunk").agg(F.flatten(F.collect_list("geometry")).alias("geometry"))
+    first = runs.select(*keys, G.union_parts(F.col("geometry"), F.lit(digits)).alias("geometry")).where(F.col("geometry").isNotNull())
+    edges = ring_edges(first.unionByName(rows.where(~is_small()).select(*keys, "geometry")), keys, digits)
     parts = polygons(union_boundary(edges, keys, digits, run), keys)
-    return parts.groupBy(*keys).agg(F.array_sort(F.collect_list("rings")).alias("geometry"))
+    united = parts.groupBy(*keys).agg(F.array_sort(F.collect_list("rings")).alias("geometry"))
+    if not keep:
+        return united
+    lows = rows.groupBy(*keys).agg(F.min("geometry").alias("_low"), F.max("geometry").alias("_high"))
+    kept = lows.join(united, keys, "left")
+    return kept.select(*keys, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(F.coalesce("geometry", "_low")).alias("geometry"))
 
 
 def boundary_length(geom: Column) -> Column:

@@ -63,7 +63,8 @@ def combine_grid_outlines(t):
     """Parts of one feature dissolved into one outline: its area and the length of its boundary."""
     k, u = F.col("l_partkey"), F.col("l_suppkey")
     size = F.when(k % 5 == 4, 3).otherwise(2) + u % 3
-    parts = t.lineitem.select(
+    # Texts are made and parsed by all tasks, however few row groups the table has.
+    parts = spread(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")).select(
         F.col("l_orderkey").alias("aoi_id"), (F.col("l_linenumber") % 2).alias("feature_id"), F.col("l_quantity").alias("clipped_area_sqm"),
         G.from_geojson(_geojson(k % 5, k % 7, u % 5, size)).alias("geometry"),
     )

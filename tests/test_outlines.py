@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from parcelweave.functions import geometry as G
 from parcelweave.functions import kernel as K
-from parcelweave.operators import coverage, outlines
+from parcelweave.operators import coverage, grid, outlines
 
 
 def shapes(spark, rows):
@@ -107,3 +107,31 @@ def test_small_outlines_are_judged_like_tables_of_edges(spark):
     assert small == {r.k: r.reason for r in outlines._reasons_by_edges(df, "k", outlines.DIGITS).collect()}
     # No shuffle, and no table of edges.
     assert "Exchange" not in outlines.invalid_reasons(df, "k")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_shapes_are_united_in_their_batch(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(60):
+        for _ in range(rng.integers(1, 12)):
+            x, y = (int(v) for v in rng.integers(0, 9, 2))
+            w, h = (int(v) for v in rng.integers(3, 6, 2))
+            ring = [box(x, y, x + w, y + h), f"({x} {y},{x + w} {y},{x} {y + h},{x} {y})", f"{box(x, y, x + w, y + h)},{box(x + 1, y + 1, x + w - 1, y + h - 1)}"]
+            rows.append((str(i), f"POLYGON({ring[rng.integers(0, 3)]})"))
+    df = shapes(spark, rows)
+    given, want = df.toArrow(), {}
+    for k, parts in zip(given["k"].to_pylist(), K.rows_to_parts(given["geometry"].combine_chunks())):
+        want.setdefault(k, []).extend(K.orient([K._open(r) for r in p]) for p in parts)
+    out = outlines.dissolve(df, ["k"])
+    # Neither tables of edges nor rounds of jobs.
+    assert "union_parts" in out._jdf.queryExecution().executedPlan().toString() and "eid" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r.a for r in out.select("k", G.area(F.col("geometry")).alias("a")).collect()}
+    assert got == pytest.approx({k: K.union_area(v) for k, v in want.items()}, rel=1e-6)
+
+
+def test_combined_parts_keep_rows_without_key_or_area(spark):
+    flat = "POLYGON((0 0,2 2,0 0))"
+    rows = [("a", None, f"POLYGON({box(0, 0, 1, 1)})"), ("b", "1", flat), ("b", "1", "POLYGON((0 0,3 3,0 0))"), ("c", "1", None), ("d", "1", f"POLYGON({box(0, 0, 1, 1)})"), ("d", "1", f"POLYGON({box(1, 0, 2, 1)})")]
+    df = spark.createDataFrame(rows, "aoi_id string, feature_id string, w string").select("aoi_id", "feature_id", F.lit(1.0).alias("area_sqm"), G.from_wkt(F.col("w")).alias("geometry"))
+    got = {r.aoi_id: (r.area_sqm, r.a, r.g is None) for r in grid.combine_grid_features(df).select("aoi_id", "area_sqm", G.area(F.col("geometry")).alias("a"), F.col("geometry").alias("g")).collect()}
+    assert got == {"a": (1.0, 1.0, False), "b": (2.0, 0.0, False), "c": (1.0, None, True), "d": (2.0, 2.0, False)}
