@@ -92,7 +92,7 @@ def event_boundary(t):
         F.lit('{"surveys":[{"id":"s'), e.cast("string"), F.lit('","captureDate":"'), F.date_format("ts", "yyyy-MM-dd"), F.lit('","tags":{"postCatEventId":"ev'), (e % 97).cast("string"),
         F.lit('"},"resources":{"tiles":[{"id":"t","boundary":'), tile, F.lit("}]}}]}"),
     )
-    surveys = payloads.survey_rows(t.events.select(u.cast("string").alias("aoi_id"), payload.alias("payload")))
+    surveys = payloads.survey_rows(spread(t.events.select("event_id", "user_id", "ts")).select(u.cast("string").alias("aoi_id"), payload.alias("payload")))
     found = coverage.event_boundary(payloads.survey_footprints(surveys), until="2024-01-24")
     return found.select(
         "event_id", "footprints", F.col("first_capture").cast("string").alias("first_capture"), F.col("last_capture").cast("string").alias("last_capture"),
