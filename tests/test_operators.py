@@ -119,6 +119,16 @@ def test_candidates_of_one_hot_area_match_brute_force(spark, cell):
     got = linking.candidate_pairs(boxes(spark, a), boxes(spark, b), cell_size=cell).select("l.feature_id", F.col("r.feature_id").alias("r")).collect()
     want = {(p[1], q[1]) for p in a for q in b if p[4] <= q[6] and q[4] <= p[6] and p[5] <= q[7] and q[5] <= p[7]}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+    got = linking.candidate_pairs(boxes(spark, a), boxes(spark, b), cell_size=cell, touching=False).select("l.feature_id", F.col("r.feature_id").alias("r")).collect()
+    want = {(p[1], q[1]) for p in a for q in b if p[4] < q[6] and q[4] < p[6] and p[5] < q[7] and q[5] < p[7]}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_boxes_that_end_on_a_cell_border_are_filed_once(spark):
+    rows = [("a", str(i), ROOF, None, 4.0 * i, 0.0, 4.0 * i + 4, 4.0) for i in range(5)]
+    filed = linking._filed(boxes(spark, rows), 4.0, "left", touching=False)
+    assert filed.where("_level = 0").count() == 5
+    assert linking.iou_pairs(boxes(spark, rows), boxes(spark, rows), cell_size=4.0).where("iou = 1").count() == 5
 
 
 # ------------------------------------------------------------------ primary
