@@ -53,7 +53,7 @@ def merge_passes(t):
     errors = i.select("aoi_id", F.when(F.col("l_suppkey") % 20 == 4, 404).otherwise(500).alias("status_code"))
     retry = C.retry_areas(errors, aois)
     first = i.select("aoi_id", "l_partkey", F.lit("first").alias("pass"))
-    second = i.join(retry, "aoi_id", "left_semi").select("aoi_id", "l_partkey", F.lit("second").alias("pass"))
+    second = i.join(C.hashed(retry), "aoi_id", "left_semi").select("aoi_id", "l_partkey", F.lit("second").alias("pass"))
     return C.merge_passes(first, second, retry)
 
 

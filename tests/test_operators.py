@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from parcelweave.config import BUILDING, BUILDING_DEPRECATED, BUILDING_LIFECYCLE, LATENCY_EDGES, ROOF, ROOF_INSTANCE
 from parcelweave.functions import geometry as G
 from parcelweave.functions import kernel as K
-from parcelweave.operators import attributes, chains, coverage, damage, grid, includes, linking, primary, rollup, spatial, stats
+from parcelweave.operators import attributes, chains, changes, coverage, damage, grid, includes, linking, primary, rollup, spatial, stats
 from parcelweave.plans import export
 from parcelweave.plans.samples import with_boxes
 
@@ -381,3 +381,14 @@ def test_copies_of_points_and_footprints_meet_once(spark):
     # What meets is places x outlines, not points x footprints.
     shapes = tagged.groupBy("event_id", "geometry").count()
     assert coverage.footprints_at_points(coverage._places(pts, "lon", "lat"), shapes, "_place", cell_size=3.0).count() == 3
+
+
+def test_merged_passes_do_not_sort_the_rows(spark):
+    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "aoi_id string, x int")
+    errors = spark.createDataFrame([("a", 404), ("a", 404), ("b", 404), ("c", 500)], "aoi_id string, status_code int")
+    aois = spark.createDataFrame([("a", None), ("b", "pin"), ("c", None)], "aoi_id string, survey_resource_id string")
+    retry = changes.retry_areas(errors, aois)
+    out = changes.merge_passes(first, spark.createDataFrame([("a", 9)], "aoi_id string, x int"), retry)
+    assert sorted(r.x for r in out.collect()) == [3, 4, 9]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
