@@ -11,6 +11,7 @@ from parcelweave.functions.columns import half_even
 from parcelweave.operators import coverage, grid, spatial
 from parcelweave.plans.registry import query
 from parcelweave.plans.samples import ctes, half_even_sql as he, with_boxes
+from parcelweave.session import spread
 from parcelweave.sources import sinks
 from parcelweave.config import MAX_AOI_SQM_BEFORE_GRIDDING, SMALL_BUILDING_SQM
 
@@ -65,8 +66,10 @@ select aoi_id, i as cell_col, j as cell_row, {he('(least(x2, x1 + (i + 1) * 25e-
 from aois, generate_series(0, cast(ceil((x2 - x1) / 25e-1) as bigint) - 1) a(i), generate_series(0, cast(ceil((y2 - y1) / 25e-1) as bigint) - 1) b(j)""")
 def split_into_grid(t):
     """Area ∩ cell pieces; the pieces of an area add up to it."""
-    s = grid.split_into_grid(t.aois(geometry=True), 2.5)
-    return s.select("aoi_id", "cell_col", "cell_row", half_even(G.area(F.col("geometry")), 6).alias("area"))
+    # Spread before the boxes are made: a table of small rows may be one task's to read.
+    boxes = spread(t.aois().select("aoi_id", "x1", "y1", "x2", "y2"), "aoi_id")
+    s = grid.split_into_grid(with_boxes(boxes), 2.5)
+    return s.select("aoi_id", "cell_col", "cell_row", half_even(G.areas(F.col("geometry")), 6).alias("area"))
 
 
 def _albers_sql(lon: str, lat: str) -> tuple[str, str]:
@@ -263,4 +266,4 @@ def geometry_round_trip(t):
     f = t.features(geometry=True)
     g = f.select("aoi_id", "feature_id", G.from_wkb(G.to_wkb(G.from_wkt(G.to_wkt(F.col("geometry"))))).alias("g"))
     b = G.bbox(F.col("g"))
-    return g.select("aoi_id", "feature_id", G.area(F.col("g")).alias("area"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))
+    return g.select("aoi_id", "feature_id", G.areas(F.col("g")).alias("area"), b["minx"].alias("minx"), b["maxy"].alias("maxy"))

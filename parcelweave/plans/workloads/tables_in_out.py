@@ -11,8 +11,8 @@ from parcelweave.functions import geometry as G
 from parcelweave.functions.columns import half_even
 from parcelweave.operators import rollup
 from parcelweave.plans.registry import query
-from parcelweave.plans.samples import CATALOGUE, ctes, half_even_sql as he
-from parcelweave.session import scratch_path
+from parcelweave.plans.samples import CATALOGUE, ctes, half_even_sql as he, with_boxes
+from parcelweave.session import scratch_path, spread
 from parcelweave.sources import aoi, geoparquet, payloads, sinks
 from parcelweave.sources.ids import dense_ids
 from parcelweave.streaming import ingest
@@ -48,18 +48,19 @@ _AOI_AREA = "select aoi_id, (x2 - x1) * (y2 - y1) as area from aois"
 def read_aois_csv(t):
     """Areas from tab-separated text with WKT."""
     path = _scratch(t, "tsv") + ".tsv"
-    t.aois().select("aoi_id", "status", _box_text("wkt").alias("geometry")).write.option("header", True).option("sep", "\t").csv(path)
+    # Spread before the texts are made: a table of small rows may be one task's to read.
+    spread(t.aois().select("aoi_id", "status", "x1", "y1", "x2", "y2")).select("aoi_id", "status", _box_text("wkt").alias("geometry")).write.option("header", True).option("sep", "\t").csv(path)
     df = aoi.read_aois(t.spark, path)
-    return df.select("aoi_id", G.area(F.col("geometry")).alias("area"))
+    return df.select("aoi_id", G.areas(F.col("geometry")).alias("area"))
 
 
 @query("read_aois_parquet", ctes("aois") + _AOI_AREA)
 def read_aois_parquet(t):
     """Areas from parquet with WKB."""
     path = _scratch(t, "wkb") + ".parquet"
-    t.aois(geometry=True).select("aoi_id", G.to_wkb("geometry").alias("geometry")).write.parquet(path)
+    with_boxes(spread(t.aois().select("aoi_id", "x1", "y1", "x2", "y2"))).select("aoi_id", G.to_wkb("geometry").alias("geometry")).write.parquet(path)
     df = aoi.read_aois(t.spark, path)
-    return df.select("aoi_id", G.area(F.col("geometry")).alias("area"))
+    return df.select("aoi_id", G.areas(F.col("geometry")).alias("area"))
 
 
 @query("read_aois_geojson", ctes("aois") + _AOI_AREA)
@@ -270,7 +271,7 @@ def geoparquet_round_trip(t):
     f = t.features(geometry=True).select("aoi_id", "feature_id", "class_id", "geometry")
     geoparquet.write_geoparquet(f, path)
     back = aoi.read_table(t.spark, path, "parquet")
-    return back.select("aoi_id", "feature_id", "class_id", G.area(F.col("geometry")).alias("area"))
+    return back.select("aoi_id", "feature_id", "class_id", G.areas(F.col("geometry")).alias("area"))
 
 
 @query("class_tables", ctes("features") + "select aoi_id, feature_id, class_id from features")

@@ -87,7 +87,7 @@ def valid_geometry(df: DataFrame) -> DataFrame:
     # Written once, as the row numbers would change if they were made again.  The number stands below the
     # filters, which keeps the optimizer from parsing each geometry again for every one of them.
     shaped = df.withColumn("_row", F.monotonically_increasing_id()).where(F.col("geometry").isNotNull() & (F.size("geometry") > 0))
-    rows = cut_lineage(shaped.where(G.area(F.col("geometry")) > 0))
+    rows = cut_lineage(shaped.where(G.areas(F.col("geometry")) > 0))
     good = small_outlines(rows).where(F.col("reason").isNull()).drop("reason", "_row")
     large = rows.where(~is_small())
     if large.isEmpty():

@@ -105,3 +105,71 @@ def test_wkb_round_trip_and_big_endian():
 def test_arrow_type():
     assert K.parts_to_rows([[[K.box_ring(0, 0, 1, 1)]]]).type == K.GEOM_ARROW
     assert pa.types.is_list(K.GEOM_ARROW)
+
+
+def _mixed_shapes():
+    """Boxes, stars, several parts, holes, open rings, empty and missing rows."""
+    rng = np.random.default_rng(5)
+    hole = [[K.box_ring(0, 0, 4, 4), K.box_ring(1, 1, 2, 2)]]
+    two = [[K.box_ring(0, 0, 1, 1)], [K.box_ring(2, 2, 3, 3), K.box_ring(2.2, 2.2, 2.4, 2.4)]]
+    return [[[K.box_ring(0, 0, 2, 1)]], None, hole, two, [[star(rng, 0, 0)]], [], [[K.box_ring(-1, -1, 9, 9)]], two, [[K.box_ring(7, 7, 8, 8)]]]
+
+
+def _no_row_by_row(monkeypatch, *names):
+    for name in names:
+        monkeypatch.setattr(K, name, lambda *a: pytest.fail(f"{name} was called for a plain row"))
+
+
+def test_wkb_columns_match_rows(monkeypatch):
+    shapes = _mixed_shapes()
+    column = rows(*shapes)
+    blobs = K.format_wkb_rows(column)
+    parts = K.rows_to_parts(column)
+    assert blobs.to_pylist() == [K.format_wkb(p) if p else None for p in parts]
+    assert K.format_wkb_rows(column.slice(2, 4)).to_pylist() == blobs.to_pylist()[2:6]
+    ring = K.box_ring(0, 0, 1, 1)
+    big = b"\x00" + (3).to_bytes(4, "big") + (1).to_bytes(4, "big") + (5).to_bytes(4, "big") + ring.astype(">f8").tobytes()
+    unclosed = K.format_wkb([[ring[:4]]])
+    odd = [big, unclosed, b"", b"\x01", blobs[0].as_py()[:-3], blobs[0].as_py() + b"\x00" * 16]
+    given = pa.array(blobs.to_pylist() + odd, pa.binary())
+    back = K.parse_wkb_rows(given)
+    assert back.slice(0, len(column)).to_pylist() == column.to_pylist()
+    square = K.parts_to_rows([[[ring]]]).to_pylist()
+    assert back.slice(len(column)).to_pylist() == [*square, *square, None, None, None, column[0].as_py()]
+    assert K.parse_wkb_rows(given.slice(3, 5)).to_pylist() == back.slice(3, 5).to_pylist()
+    assert len(K.parse_wkb_rows(given.slice(0, 0))) == len(K.format_wkb_rows(column.slice(0, 0))) == 0
+    boxes = rows(*[[[K.box_ring(k, 0, k + 1, 2)]] for k in range(50)])
+    _no_row_by_row(monkeypatch, "parse_wkb", "format_wkb", "rows_to_parts")
+    assert K.parse_wkb_rows(K.format_wkb_rows(boxes)).to_pylist() == boxes.to_pylist()
+
+
+def test_clipped_columns_match_rows(monkeypatch):
+    shapes = _mixed_shapes()
+    column = rows(*shapes)
+    boxes = np.tile([[-0.5, -0.5, 1.5, 3.5]], (len(shapes), 1))
+    assert K.clip_to_boxes(column, boxes).to_pylist() == K.parts_to_rows(K.clip_rows_to_boxes(column, boxes)).to_pylist()
+    assert K.clip_to_boxes(column.slice(1, 5), boxes[:5]).to_pylist() == K.parts_to_rows(K.clip_rows_to_boxes(column.slice(1, 5), boxes[:5])).to_pylist()
+    upright = rows(*[[[K.box_ring(k / 10, 0, k / 10 + 1, 2)]] for k in range(50)])
+    want = K.parts_to_rows(K.clip_rows_to_boxes(upright, boxes[:1].repeat(50, axis=0))).to_pylist()
+    _no_row_by_row(monkeypatch, "rows_to_parts")
+    assert K.clip_to_boxes(upright, boxes[:1].repeat(50, axis=0)).to_pylist() == want
+
+
+def test_plain_wkt_and_areas_of_columns(spark):
+    from pyspark.sql import functions as F
+
+    from parcelweave.functions import geometry as G
+
+    texts = [
+        "POLYGON ((0 0, 4 0, 4 3, 0 3, 0 0))", "polygon((-1.5 0,2e-3 0, 2 1.25E1,-1.5 0)) ", "POLYGON((0 0, 1 0, 1 1))", "POLYGON ((0 0 5, 1 0 5, 1 1 5, 0 0 5))",
+        "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 6 6, 5 5)))", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 1))", "POLYGON EMPTY", "POINT (1 2)",
+        "POLYGON ((01 0, 1 0, 1 1))", "POLYGON ((1. 0, 1 0, 1 1))", "POLYGON ((0 0, 1 0", "POLYGON ((0 0, , 1 1))", "", None, "POLYGON ((0.1 0.2, 123456.789012345 0.3, 7 1e2, 0.1 0.2))",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(1)
+    both = df.select("i", G.from_wkt(F.col("t")).alias("g"), G._any_wkt(F.col("t")).alias("plain")).collect()
+    assert [r.g for r in both] == [r.plain for r in both]
+    assert sum(v is not None for v in K.parse_plain_wkt(pa.array(texts)).to_pylist()) == 4
+    shapes = spark.createDataFrame([(K.parts_to_rows([s]).to_pylist()[0],) for s in _mixed_shapes()] + [([],), ([[]],), ([[[]]],)], f"g {G.GEOM}")
+    shapes = shapes.unionByName(df.select(G.from_wkt(F.col("t")).alias("g")))
+    for row in shapes.select(G.area(F.col("g")).alias("a"), G.areas(F.col("g")).alias("b"), "g").collect():
+        assert row.a == row.b, row
