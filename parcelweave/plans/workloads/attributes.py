@@ -12,6 +12,7 @@ from parcelweave.operators import includes as I
 from parcelweave.plans import export
 from parcelweave.plans.registry import query
 from parcelweave.plans.samples import ctes, half_even_sql as he
+from parcelweave.session import spread
 from parcelweave.sources import sinks
 
 _KEY = "cast(p_partkey as string) as feature_id"
@@ -23,7 +24,9 @@ def _key():
 
 def _json(t, text_by_case):
     """part rows with a payload text chosen by the key."""
-    return t.part.select(_key(), "p_partkey", "p_size", "p_retailprice", "p_name", "p_type", text_by_case.alias("payload"))
+    # Spread before the texts are made: the rows are few bytes each, so one task would read many of them.
+    part = spread(t.part.select("p_partkey", "p_size", "p_retailprice", "p_name", "p_type"), "p_partkey")
+    return part.select(_key(), "p_partkey", "p_size", "p_retailprice", "p_name", "p_type", text_by_case.alias("payload"))
 
 
 # ------------------------------------------------------------------ include payloads
@@ -111,8 +114,9 @@ def _zones_sql(prefix: str) -> str:
 def defensible_space_zones(t):
     """Zone metrics in long form; known risk classes default to 0.0."""
     df = _json(t, _zones_payload())
-    m = I.defensible_space_metrics(I.parse_include("defensible_space", F.col("payload")), "au")
-    return long_form(df.withColumn("m", m), ["feature_id"], "m")
+    # A column of its own, so that it is parsed once and not wherever the metrics name it.
+    parsed = df.withColumn("zones", I.parse_include("defensible_space", F.col("payload")))
+    return long_form(parsed.withColumn("m", I.defensible_space_metrics(F.col("zones"), "au")), ["feature_id"], "m")
 
 
 @query("aggregate_zones", f"""
