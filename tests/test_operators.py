@@ -392,3 +392,32 @@ def test_merged_passes_do_not_sort_the_rows(spark):
     assert sorted(r.x for r in out.collect()) == [3, 4, 9]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_primary_carries_wanted_columns_only(spark):
+    rows = [("a", "r", "f1", 2.0, 5.0, "x" * 50), ("a", "r", "f2", 3.0, 4.0, "y" * 50), ("a", "b", "f3", None, None, "z")]
+    f = spark.createDataFrame(rows, "aoi_id string, class_id string, feature_id string, clipped_area_sqm double, unclipped_area_sqm double, note string")
+    p = primary.select_primary(f, ["aoi_id", "class_id"], columns=["feature_id"])
+    assert p.columns == ["aoi_id", "class_id", "feature_id"]
+    assert sorted(tuple(r) for r in p.collect()) == [("a", "b", "f3"), ("a", "r", "f2")]
+    assert primary.select_primary(f, ["aoi_id", "class_id"]).columns == f.columns
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and "note" not in plan.split("LogicalRDD")[0]
+
+
+def test_long_form_computes_the_map_once(spark):
+    from parcelweave.functions.maps import long_form
+
+    made = F.map_from_arrays(F.array(F.col("k")), F.array(F.col("v") * 2))
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double").withColumn("m", F.when(F.col("k") != "b", made))
+    out = long_form(df, ["k"], "m")
+    assert [tuple(r) for r in out.collect()] == [("a", "a", 2.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("map_from_arrays") == 1
+
+
+def test_grid_errors_take_boxes(spark):
+    errors = spark.createDataFrame([("a", 1), ("a", 2)], "aoi_id string, cell_id int")
+    box = F.struct(F.lit(0.0).alias("minx"), F.lit(0.0).alias("miny"), F.lit(2.0).alias("maxx"), F.lit(3.0).alias("maxy"))
+    cells = spark.createDataFrame([("a", 1)], "aoi_id string, cell_id int").withColumn("cell_box", box)
+    out = grid.grid_cell_errors(errors, cells).withColumn("area", G.area(F.col("geometry"))).collect()
+    assert sorted((r.cell_id, r.area, r.failure_type) for r in out if r.geometry) == [(1, 6.0, "grid")] and len(out) == 2
