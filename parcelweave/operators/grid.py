@@ -167,13 +167,17 @@ def accept_gridded(
 
 
 def grid_cell_errors(errors: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cell failures keep the cell's outline and the outer area id, marked as grid failures."""
-    shapes = cells.select("aoi_id", "cell_id", F.col("geometry").alias("_cell_geometry"))
-    return (
-        errors.drop("geometry", "failure_type").join(shapes, ["aoi_id", "cell_id"], "left")
-        .withColumnRenamed("_cell_geometry", "geometry")
-        .withColumn("failure_type", F.lit("grid"))
-    )
+    """Cell failures keep the cell's outline and the outer area id, marked as grid failures.
+
+    ``cells`` have a ``geometry`` or, as :func:`grid_cells` gives them, a ``cell_box``: then four numbers travel
+    and the outline is made where cell and failure have met.
+    """
+    boxed = "geometry" not in cells.columns
+    shapes = cells.select("aoi_id", "cell_id", F.col("cell_box" if boxed else "geometry").alias("_cell"))
+    met = errors.drop("geometry", "failure_type").join(shapes, ["aoi_id", "cell_id"], "left")
+    b = F.col("_cell")
+    shape = F.when(b.isNotNull(), G.box(b["minx"], b["miny"], b["maxx"], b["maxy"])) if boxed else b
+    return met.withColumn("geometry", shape).drop("_cell").withColumn("failure_type", F.lit("grid"))
 
 
 def first_cell_metadata(metadata: DataFrame) -> DataFrame:

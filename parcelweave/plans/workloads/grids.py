@@ -157,11 +157,10 @@ select aoi_id, cell_id, 'grid' as failure_type, 4e0 * cell_id as area, l_partkey
 def grid_cell_errors(t):
     """Failed cells with the outline of their own cell."""
     cells = _cells(t)
-    shapes = cells.select("aoi_id", "cell_id").distinct().withColumns(
-        {"x1": F.lit(0.0), "y1": F.lit(0.0), "x2": F.col("cell_id").cast("double"), "y2": F.lit(4.0)}
-    )
+    box = F.struct(F.lit(0.0).alias("minx"), F.lit(0.0).alias("miny"), F.col("cell_id").cast("double").alias("maxx"), F.lit(4.0).alias("maxy"))
+    shapes = cells.select("aoi_id", "cell_id").distinct().withColumn("cell_box", box)
     errors = cells.where(~F.col("ok")).withColumn("failure_type", F.lit("standard"))
-    out = grid.grid_cell_errors(errors, with_boxes(shapes))
+    out = grid.grid_cell_errors(errors, shapes)
     return out.select("aoi_id", "cell_id", "failure_type", G.area(F.col("geometry")).alias("area"), "l_partkey", "l_suppkey")
 
 
