@@ -74,20 +74,20 @@ def _with_model_version(versions: Column, include: Column, api_key: str) -> Colu
     return F.when(fits & named, F.to_json(F.map_concat(own, others))).when(fits, spliced).otherwise(include)
 
 
-def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False) -> DataFrame:
+def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False, other: bool = True) -> DataFrame:
     """One row per feature.
 
     In parcel mode features that do not belong to the parcel are left out, but only where the
     payload's first feature carries the flag at all; a missing flag counts as true.  A clipped
     outline replaces the outline and marks the feature as multi-parcel.  Confidence is rounded to
     two decimals here, before anything is aggregated.  Keys without a column of their own come as one
-    VARIANT object, ``other`` (NULL where there are none); only payloads with such keys are read for it.
+    VARIANT object, ``other`` (NULL where there are none); only payloads with such keys are read for it, and
+    callers without use for it leave it out.
     """
     p = parsed_features(payloads)
     features = F.col("p.features")
-    known = F.array(*[F.lit(k) for k in FEATURE_KEYS])
-    more = F.exists(features, lambda f: F.size(F.array_except(F.map_keys(f), known)) > 0)
-    values = F.when(more, F.from_json("payload", FEATURE_VALUES)["features"])
+    more = F.exists(features, lambda f: F.exists(F.map_keys(f), lambda k: ~k.isin(*FEATURE_KEYS)))
+    values = F.when(more, F.from_json("payload", FEATURE_VALUES)["features"]) if other else F.lit(None).cast("array<map<string,variant>>")
     flagged = F.get(features, F.lit(0))["belongsToParcel"].isNotNull()
     p = p.select("aoi_id", F.col("p.versions").alias("_versions"), flagged.alias("_flagged"), features.alias("_f"), values.alias("_v"))
     rows = p.select(
@@ -117,8 +117,9 @@ def feature_rows(payloads: DataFrame, *, parcel_mode: bool = False) -> DataFrame
         cols[snake_name(c)] = half_even(value, 2) if c == "confidence" else value
     for name, api_key in API_INCLUDES.items():
         cols[name] = _with_model_version(F.col("_versions"), F.col("f")[api_key], api_key)
-    unnamed = F.map_filter("_v", lambda name, _: ~name.isin(*FEATURE_KEYS))
-    cols["other"] = F.when(F.size(unnamed) > 0, F.to_variant_object(unnamed))
+    if other:
+        unnamed = F.map_filter("_v", lambda name, _: ~name.isin(*FEATURE_KEYS))
+        cols["other"] = F.when(F.size(unnamed) > 0, F.to_variant_object(unnamed))
     return rows.select("aoi_id", *[v.alias(k) for k, v in cols.items()])
 
 

@@ -148,16 +148,20 @@ def stored_payloads(
 ) -> DataFrame:
     """All payloads of some areas, the newest batch winning per (area, page)."""
     rows = bucket_rows(spark, store.rstrip("/"), areas, schema, buckets)
-    rows = rows.join(areas.select("aoi_id").distinct(), "aoi_id", "left_semi")
+    # By hash of the areas, which are short, so that payloads are sorted once, to find the newest.
+    rows = rows.join(areas.select("aoi_id").distinct().hint("shuffle_hash"), "aoi_id", "left_semi")
     return newest(rows, ["aoi_id", "page"]).drop("batch_id")
 
 
-def current_rollup(spark: SparkSession, target: str) -> DataFrame:
-    """Newest row per area over all runs."""
+def current_rollup(spark: SparkSession, target: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Newest row per area over all runs, of the named columns alone where they are given."""
     target = target.rstrip("/")
     rows = read_runs(spark, target, complete_runs(spark, target))
     if rows is None:
         raise ValueError(f"no rollup was written to {target}")
+    if columns is not None:
+        # Before the newest are found: rows travel as structs, which the optimizer does not narrow.
+        rows = rows.select("aoi_id", "batch_id", *[c for c in columns if c != "aoi_id"])
     return newest(rows, ["aoi_id"]).drop("batch_id")
 
 
