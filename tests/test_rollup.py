@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from parcelweave.config import BUILDING, ROOF
+from parcelweave.config import BUILDING, BUILDING_LIFECYCLE, ROOF
 from parcelweave.operators import rollup
+from parcelweave.plans.samples import Tables
+from parcelweave.plans.workloads.rollups import _scored
 from parcelweave.sources import payloads
 from parcelweave.streaming import ingest
 
@@ -36,3 +38,16 @@ def test_current_rollup_of_some_columns_carries_no_others(spark, tmp_path):
     now = ingest.current_rollup(spark, target, ["n"])
     assert sorted(map(tuple, now.collect())) == [("a", 1), ("b", 5)]
     assert "remark" not in now._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_with_a_parent_join_buildings_alone(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    linked = _scored(t).where(F.col("parent_id").isNotNull()).select("aoi_id", "feature_id", "parent_id")
+    rows = [(r.aoi_id, r.feature_id, r.class_id) for r in t.features().select("aoi_id", "feature_id", "class_id").collect()]
+    first = {}
+    for area, feature, kind in rows:
+        if kind == BUILDING_LIFECYCLE:
+            first[area] = min(feature, first.get(area, feature))
+    want = sorted((a, f, first[a]) for a, f, kind in rows if kind == BUILDING and a in first)
+    assert want and sorted(map(tuple, linked.collect())) == want
+    assert "LeftOuter" not in linked._jdf.queryExecution().optimizedPlan().toString()
