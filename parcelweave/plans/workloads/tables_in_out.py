@@ -12,7 +12,7 @@ from parcelweave.functions.columns import half_even
 from parcelweave.operators import rollup
 from parcelweave.plans.registry import query
 from parcelweave.plans.samples import CATALOGUE, ctes, half_even_sql as he, with_boxes
-from parcelweave.session import scratch_path, spread
+from parcelweave.session import scratch_path, shuffles_dropped, spread
 from parcelweave.sources import aoi, geoparquet, payloads, sinks
 from parcelweave.sources.ids import dense_ids
 from parcelweave.streaming import ingest
@@ -383,7 +383,8 @@ def incremental_rollup(t):
         return rollup.parcel_rollup(areas, payloads.feature_rows(rows, other=False), cat, "au")
 
     for wave in (0, 1):
-        pages.where(F.col("page") == wave).write.mode("append").json(f"{base}/landing")
+        with shuffles_dropped(t.spark):
+            pages.where(F.col("page") == wave).write.mode("append").option("compression", "gzip").json(f"{base}/landing")
         ingest.run_incremental(t.spark, f"{base}/landing", f"{base}/store", f"{base}/rollups", f"{base}/progress", rollup_of, buckets=8)
     now = ingest.current_rollup(t.spark, f"{base}/rollups", ["roof_count", "building_count", "roof_total_clipped_area_sqm"])
     return now.select("aoi_id", "roof_count", "building_count", half_even(F.col("roof_total_clipped_area_sqm"), 1).alias("roof_area"))

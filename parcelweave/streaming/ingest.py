@@ -23,6 +23,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelweave.session import shuffles_dropped
+
 PAYLOADS = "aoi_id string, page int, payload string"
 BUCKETS = 16
 MAX_BUCKETS = 4096
@@ -75,7 +77,9 @@ def write_run(rows: DataFrame, store: str, level: int, run: int, buckets: int =
     """Replace one run; rows need ``aoi_id`` and ``batch_id``.  Hot buckets are written by several tasks."""
     placed = rows.withColumn("bucket", bucket(F.col("aoi_id"), level_buckets(level, buckets)))
     placed = placed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "aoi_id")
-    placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/level={level}/run={run}")
+    with shuffles_dropped(rows.sparkSession):
+        writer = placed.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd")
+        writer.parquet(f"{store}/level={level}/run={run}")
 
 
 def read_runs(

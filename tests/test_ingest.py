@@ -1,10 +1,12 @@
 """The log-structured stores behind incremental ingest."""
 
+import glob
 import os
 
 from pyspark.sql import functions as F
 
 from parcelweave.streaming import ingest
+from tests.test_disk import left_behind, shuffle_files
 
 
 def _batch(spark, areas, text):
@@ -60,3 +62,12 @@ def test_rows_without_an_area_and_empty_stores(spark, tmp_path):
     assert ingest.stored_payloads(spark, store, areas).count() == 0
     ingest.store_payloads(spark.createDataFrame([(None, 0, "x")], ingest.PAYLOADS), store, 0)
     assert ingest.stored_payloads(spark, store, areas).count() == 0
+
+
+def test_runs_are_stored_with_zstd_and_leave_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    rows = _batch(spark, ["a1", "a2", "b1"], "x").withColumn("batch_id", F.lit(0).cast("bigint"))
+    ingest.write_run(rows, str(tmp_path), 0, 0, 2)
+    files = glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert not left_behind(spark, before)
