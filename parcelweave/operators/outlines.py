@@ -448,11 +448,34 @@ def invalid_reasons(shapes: DataFrame, key: str, digits: int = DIGITS) -> DataFr
     return told if large.isEmpty() else told.unionByName(_reasons_by_edges(large, key, digits))
 
 
+def judged(shapes: DataFrame, key: str, digits: int = DIGITS) -> DataFrame:
+    """The rows with a geometry that is not empty and their ``reason``, NULL where they are valid; without the geometry.
+
+    Outlines of few points are judged on the way to a table that is written once, and then left out of it."""
+    given = shapes.where(F.size("geometry") > 0).withColumn("_fault", faults(digits))
+    rows = cut_lineage(given.withColumn("geometry", F.when(F.col("_fault") < 0, F.col("geometry"))))
+    small = rows.where(F.col("_fault") >= 0).withColumn("reason", _told(F.col("_fault"))).drop("geometry", "_fault")
+    large = rows.where(F.col("_fault") < 0).drop("_fault")
+    if large.isEmpty():
+        return small
+    reasons = _reasons_by_edges(large.select(key, "geometry"), key, digits)
+    return small.unionByName(large.drop("geometry").join(reasons, key, "left"))
+
+
 def is_small() -> Column:
     """True for a ``geometry`` of up to ``SMALL`` points."""
     return F.coalesce(F.size(F.flatten(F.flatten("geometry"))) <= SMALL, F.lit(True))
 
 
+def faults(digits: int = DIGITS) -> Column:
+    """Number of the reason why ``geometry`` is not valid, 0 for none, -1 for one of more than ``SMALL`` points."""
+    return F.coalesce(G.outline_faults(F.col("geometry"), F.lit(digits), F.lit(SMALL)), F.lit(1))
+
+
+def _told(fault: Column) -> Column:
+    return F.get(F.array(*[F.lit(x) for x in REASONS]), fault - 1)
+
+
 def _hollow() -> Column:
     odd_ring = lambda r: (F.size(r) < 3) | (G._ring_area(r) == 0)
     bad = F.exists("geometry", lambda part: part.isNull() | (F.size(part) == 0) | F.exists(part, odd_ring))
@@ -461,9 +484,8 @@ def _hollow() -> Column:
 
 def small_outlines(shapes: DataFrame, digits: int = DIGITS) -> DataFrame:
     """The rows with small outlines and their ``reason``, NULL where they are valid."""
-    rule = F.get(F.array(*[F.lit(x) for x in REASONS]), F.col("_fault") - 1)
-    judged = shapes.where(is_small()).withColumn("_fault", G.ring_faults(F.col("geometry"), F.lit(digits)))
-    return judged.withColumn("reason", F.when(_hollow(), REASONS[0]).when(F.col("_fault") > 0, rule)).drop("_fault")
+    judged = shapes.withColumn("_fault", faults(digits)).where(F.col("_fault") >= 0)
+    return judged.withColumn("reason", _told(F.col("_fault"))).drop("_fault")
 
 
 def _reasons_by_edges(given: DataFrame, key: str, digits: int) -> DataFrame:

@@ -14,7 +14,7 @@ from parcelweave.operators import coverage, grid, outlines
 from parcelweave.operators.outlines import boundary_length
 from parcelweave.plans.registry import query
 from parcelweave.plans.samples import ctes, half_even_sql as he
-from parcelweave.session import cut_lineage, spread
+from parcelweave.session import spread
 from parcelweave.sources import aoi, payloads
 
 
@@ -146,7 +146,7 @@ _GOOD = ", ".join(str(k) for k, (_, reason) in enumerate(_OUTLINES) if reason is
 select aoi_id, feature_id from features where l_partkey % 15 in ({_GOOD})""")
 def valid_geometry(t):
     """Missing outlines, and those that are no valid area, are left out."""
-    return aoi.valid_geometry(_odd_outlines(t)).select("aoi_id", "feature_id")
+    return aoi.valid_geometry(_odd_outlines(t).select("aoi_id", "feature_id", "geometry")).select("aoi_id", "feature_id")
 
 
 @query("invalid_outlines", ctes("features") + f"""
@@ -154,5 +154,6 @@ select aoi_id, feature_id, l_linenumber, case l_partkey % 15 {' '.join(f"when {k
 from features where l_partkey % 15 not in (14, {_GOOD})""")
 def invalid_outlines(t):
     """What is wrong with each outline that is no valid area."""
-    rows = cut_lineage(_odd_outlines(t).withColumn("row", F.monotonically_increasing_id()))
-    return rows.join(outlines.invalid_reasons(rows, "row"), "row").select("aoi_id", "feature_id", "l_linenumber", "reason")
+    rows = _odd_outlines(t).select("aoi_id", "feature_id", "l_linenumber", "geometry").withColumn("row", F.monotonically_increasing_id())
+    told = outlines.judged(rows, "row").where(F.col("reason").isNotNull())
+    return told.select("aoi_id", "feature_id", "l_linenumber", "reason")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from parcelweave.config import ADDRESS_FIELDS, AOI_ID, ROOF_AGE_DATASETS, ROOF_AGE_DATASETS_WITHOUT_CUTOFF
 from parcelweave.functions import geometry as G
 from parcelweave.sources.geopackage import read_geopackage
-from parcelweave.operators.outlines import invalid_reasons, is_small, small_outlines
+from parcelweave.operators.outlines import faults, invalid_reasons
 from parcelweave.session import cut_lineage
 from parcelweave.sources.ids import dense_ids
 
@@ -87,9 +87,11 @@ def valid_geometry(df: DataFrame) -> DataFrame:
     # Written once, as the row numbers would change if they were made again.  The number stands below the
     # filters, which keeps the optimizer from parsing each geometry again for every one of them.
     shaped = df.withColumn("_row", F.monotonically_increasing_id()).where(F.col("geometry").isNotNull() & (F.size("geometry") > 0))
-    rows = cut_lineage(shaped.where(G.areas(F.col("geometry")) > 0))
-    good = small_outlines(rows).where(F.col("reason").isNull()).drop("reason", "_row")
-    large = rows.where(~is_small())
+    # Measured and judged together; what is told to be invalid is not written.
+    measured = shaped.withColumns({"_area": G.areas(F.col("geometry")), "_fault": faults()})
+    rows = cut_lineage(measured.where((F.col("_area") > 0) & F.col("_fault").isin(0, -1)).drop("_area"))
+    good = rows.where(F.col("_fault") == 0).drop("_fault", "_row")
+    large = rows.where(F.col("_fault") < 0).drop("_fault")
     if large.isEmpty():
         return good
     bad = invalid_reasons(large, "_row").select("_row")

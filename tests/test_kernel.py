@@ -173,3 +173,26 @@ def test_plain_wkt_and_areas_of_columns(spark):
     shapes = shapes.unionByName(df.select(G.from_wkt(F.col("t")).alias("g")))
     for row in shapes.select(G.area(F.col("g")).alias("a"), G.areas(F.col("g")).alias("b"), "g").collect():
         assert row.a == row.b, row
+
+
+def test_nested_wkt_is_read_by_columns():
+    box, hole = "(0 0, 4 0, 4 4, 0 4, 0 0)", "(1 1, 2e0 1,2 -2.5E-1, 1 1)"
+    texts = [
+        f"POLYGON ({box})", f"MULTIPOLYGON (({box}, {hole}), ({hole}))", None, f"polygon({box},{hole})", f"MultiPolygon((({box[1:]}))", "MULTIPOLYGON EMPTY",
+        f"MULTIPOLYGON (({box}), ({hole}, {box}, {hole}))", "MULTIPOLYGON (((0 0 1, 1 0 1, 1 1 1)))", f"POLYGON (({box}))", f"MULTIPOLYGON ({box})", f"MULTIPOLYGON (({box}),)",
+    ]
+    b, h = [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], [(1, 1), (2, 1), (2, -0.25), (1, 1)]
+    want = [[[b]], [[b, h], [h]], None, [[b, h]], [[b]], None, [[b], [h, b, h]], None, None, None, None]
+    flat = lambda rows: [r and [[[(p["x"], p["y"]) for p in ring] for ring in part] for part in r] for r in rows.to_pylist()]
+    assert flat(K.parse_wkt_rows(pa.array(texts))) == want
+    assert flat(K.parse_wkt_rows(pa.array(texts).slice(2, 6))) == want[2:8] and len(K.parse_wkt_rows(pa.array([], pa.string()))) == 0
+
+
+def test_outlines_are_measured_and_judged_in_one_call():
+    p = lambda *xy: [{"x": x, "y": y} for x, y in xy]
+    box, bow = p((0, 0), (4, 0), (4, 4), (0, 4), (0, 0)), p((0, 0), (4, 4), (4, 0), (0, 3), (0, 0))
+    many = p(*[(float(k), float(k * k)) for k in range(65)])
+    shapes = [[[box]], None, [], [[bow]], [[p((0, 0), (1, 1), (2, 2), (0, 0))]], [[many]], [[box], []], [[box], None], [[[*box[:2], None, *box[2:]]]], [[box], [box]], [[box[:2]]], [[[*box[:2], {"x": None, "y": 1.0}, *box[2:]]]]]
+    rows = pa.array(shapes, K.GEOM_ARROW)
+    assert K.outline_faults(rows, 9, 64).to_pylist() == [0, None, 0, 2, 1, -1, 1, 1, 1, 4, 1, 1]
+    assert K.outline_faults(rows.slice(3, 3), 9, 64).to_pylist() == [2, 1, -1]

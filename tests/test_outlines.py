@@ -135,3 +135,16 @@ def test_combined_parts_keep_rows_without_key_or_area(spark):
     df = spark.createDataFrame(rows, "aoi_id string, feature_id string, w string").select("aoi_id", "feature_id", F.lit(1.0).alias("area_sqm"), G.from_wkt(F.col("w")).alias("geometry"))
     got = {r.aoi_id: (r.area_sqm, r.a, r.g is None) for r in grid.combine_grid_features(df).select("aoi_id", "area_sqm", G.area(F.col("geometry")).alias("a"), F.col("geometry").alias("g")).collect()}
     assert got == {"a": (1.0, 1.0, False), "b": (2.0, 0.0, False), "c": (1.0, None, True), "d": (2.0, 2.0, False)}
+
+
+def test_judged_rows_keep_their_columns_and_no_outline(spark, monkeypatch):
+    cases = {"good": f"POLYGON({box(0, 0, 2, 2)})", "bow": "POLYGON((0 0,4 4,4 0,0 3,0 0))", "flat": "POLYGON((0 0,1 1,2 2,0 0))", "none": "POLYGON EMPTY"}
+    cases["twice"] = f"MULTIPOLYGON(({box(0, 0, 2, 2)}),({box(1, 1, 3, 3)}))"
+    df = shapes(spark, list(cases.items())).withColumn("n", F.length("k"))
+    want = {"good": None, "bow": "ring meets itself", "flat": "ring without area", "twice": "rings cross"}
+    for small in (64, 6):
+        monkeypatch.setattr(outlines, "SMALL", small)
+        got = outlines.judged(df, "k")
+        assert sorted(got.columns) == ["k", "n", "reason"]
+        assert {r.k: r.reason for r in got.collect()} == want
+    assert "ArrowEvalPython" not in outlines.judged(df, "k")._jdf.queryExecution().executedPlan().toString()
